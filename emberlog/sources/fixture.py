@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.session import utc
+from emberlog.session import fresh_path, utc
 
 START_US = 1718442000000000
 
@@ -76,3 +76,19 @@ def scored_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
             "anomaly_score": F.col("response_time_ms") / F.lit(10000.0),
         }
     )
+
+
+_TABLES: dict[tuple[str, str], str] = {}
+
+
+def log_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scored logs as a stored table partitioned by day, built once per session from ``events``."""
+    utc(spark)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TABLES:
+        path = fresh_path(spark, "logs")
+        logs = scored_logs(spark, sf_dir).drop("consumed_at").withColumn("log_date", F.to_date("timestamp"))
+        # Range-partitioned by time, so that files hold disjoint spans and time predicates skip them.
+        logs.repartitionByRange("us").sortWithinPartitions("us").write.partitionBy("log_date").parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(_TABLES[key])
