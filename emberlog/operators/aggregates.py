@@ -46,7 +46,7 @@ def top_services(df: DataFrame, k: int = 5) -> DataFrame:
     # One row.
     return (
         counts.orderBy(F.desc("n"), "service").limit(k).crossJoin(F.broadcast(total))
-        .select("service", "n", percent(F.col("n"), F.col("total")).alias("pct"))
+        .select("service", "n", percent(F.col("n"), F.col("total")).alias("pct")).orderBy(F.desc("n"), "service")
     )
 
 
@@ -196,7 +196,7 @@ def service_report(df: DataFrame, hours: int = 1, as_of: AsOf = None) -> DataFra
         raise ValueError("hours must be 1..24")
     rows = in_last(df, as_of, hours=hours).select("service_name", "log_level", "response_time_ms", "is_error")
     # One row.
-    return service_levels(rows).crossJoin(F.broadcast(latency_profile(rows)))
+    return service_levels(rows).crossJoin(F.broadcast(latency_profile(rows))).orderBy(F.desc("total"), "service")
 
 
 def anomalies_by_service(df: DataFrame, as_of: AsOf = None, minutes: int = 30, k: int = 10) -> DataFrame:
@@ -215,6 +215,7 @@ def anomalies_by_service(df: DataFrame, as_of: AsOf = None, minutes: int = 30, k
     return (
         grouped.orderBy(F.desc("anomaly_count"), "service").limit(k).crossJoin(F.broadcast(total))
         .withColumn("pct_of_total", percent(F.col("anomaly_count"), F.col("total_anomalies"), 1))
+        .orderBy(F.desc("anomaly_count"), "service")
     )
 
 
