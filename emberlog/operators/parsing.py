@@ -11,12 +11,21 @@ from emberlog.schema import ALERT_SCHEMA, ALERT_WINDOW_S, API_FIELDS, LEVELS, OP
 _DOC = "document"
 
 
+def _computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters must not recompute.
+
+    A filter on a plain projection is pushed below it with every reference replaced by its expression, which
+    would parse the JSON again for each check. A generated row is evaluated once and filtered afterwards.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def decode(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``document``: the JSON value, null when the bytes are not UTF-8 JSON (or are JSON ``null``)."""
     parsed = F.try_parse_json(F.try_validate_utf8(F.col(value).cast("string")))
-    return df.withColumn(_DOC, parsed).withColumn(
-        _DOC, F.when(~F.is_variant_null(F.col(_DOC)), F.col(_DOC))
-    )
+    out = _computed(df, {_DOC: parsed})
+    return out.withColumn(_DOC, F.when(~F.is_variant_null(F.col(_DOC)), F.col(_DOC)))
 
 
 def _field(name: str) -> Column:
@@ -50,22 +59,22 @@ def _first_failure() -> Column:
 
 def validate(df: DataFrame) -> DataFrame:
     """Add ``reject_stage`` (decode, validate, timestamp or null), ``reject_reason`` and the typed fields."""
-    kept = df.columns
-    shaped = df.withColumns({f"__f_{n}": _field(n) for n, _ in REQUIRED_FIELDS})
-    shaped = shaped.withColumns(
+    shaped = _computed(df, {f"__f_{n}": _field(n) for n, _ in REQUIRED_FIELDS})
+    shaped = _computed(
+        shaped,
         {
             **{f"__t_{n}": F.schema_of_variant(F.col(f"__f_{n}")) for n, _ in REQUIRED_FIELDS},
             "__rt": F.try_variant_get(F.col(_DOC), "$.response_time_ms", "int"),
             "__sc": F.try_variant_get(F.col(_DOC), "$.status_code", "int"),
-        }
+        },
     )
-    failure = F.when(F.col(_DOC).isNotNull(), _first_failure())
-    shaped = shaped.withColumn("__failure", failure)
     text = F.try_variant_get(F.col(_DOC), "$.timestamp", "string")
     typed = {n: F.try_variant_get(F.col(_DOC), f"$.{n}", t) for n, t in (*REQUIRED_FIELDS, *OPTIONAL_FIELDS)}
     typed["timestamp"] = X.parse_iso(text)
     typed["timestamp_text"] = text
-    out = shaped.select(*[c for c in kept if c not in typed], "__failure", *[c.alias(n) for n, c in typed.items()])
+    failure = F.when(F.col(_DOC).isNotNull(), _first_failure())
+    out = _computed(shaped, {"__failure": failure, **typed})
+    out = out.drop(*[c for c in out.columns if c.startswith("__") and c != "__failure"])
     stage = (
         F.when(F.col(_DOC).isNull(), F.lit("decode"))
         .when(F.col("__failure").isNotNull(), F.lit("validate"))

@@ -52,7 +52,7 @@ def throttle(
     carried: DataFrame | None = None,
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
-    """The rows of ``df`` that pass. ``carried`` holds ``(*keys, last_us)`` of earlier passes, if any.
+    """The rows of ``df`` that pass. ``carried`` holds ``(*keys, last_us)`` of earlier passes, none after a row of ``df``.
 
     ``(instant, tie)`` must identify a row within its key; ``instant`` is microseconds.
     """
@@ -83,7 +83,7 @@ def throttle(
     if carried is not None:
         steps = steps.unionByName(
             carried.select(
-                *keys, F.lit(-1).alias("bucket"), F.lit(int(_NEVER)).alias("entry"), F.col("last_us").alias("exit")
+                *keys, F.lit(-1).alias("bucket"), F.lit(int(_NEVER) // 2).alias("entry"), F.col("last_us").alias("exit")
             )
         )
 
