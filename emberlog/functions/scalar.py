@@ -51,6 +51,11 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return F.when(whole > 0, F.round(part / whole * 100, places)).otherwise(F.lit(0.0))
 
 
+def settled(value: Column, places: int) -> Column:
+    """Round half up after dropping the floating-point noise of an interpolated value."""
+    return F.round(F.round(value.cast("double"), 6), places)
+
+
 def per_minute(count: Column, window_s: int) -> Column:
     return F.round(count / F.lit(window_s) * 60, 1)
 

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.functions.scalar import epoch_bucket_us, instant, percent
+from emberlog.functions.scalar import epoch_bucket_us, instant, percent, settled
 from emberlog.operators.joins import bucket_spine, fill_spine
 from emberlog.operators.ordered import exact_quantiles, melt
 from emberlog.operators.search import in_last, newest_first
@@ -99,7 +99,7 @@ def recent_stats(df: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
         "window_size", "total_in_table",
         *[F.col(f"level_{x.lower()}{s}") for x in LEVELS for s in ("", "_pct")],
         F.round("avg", 2).alias("avg_response_ms"),
-        F.round("p95", 2).alias("p95_response_ms"),
+        settled(F.col("p95"), 2).alias("p95_response_ms"),
         F.round(F.col("max").cast("double"), 2).alias("max_response_ms"),
         F.round(F.col("errors") / window * 100, 2).alias("error_rate_pct"),
         F.round(F.col("slow") / window * 100, 2).alias("slow_rate_pct"),
@@ -115,7 +115,7 @@ def rolling_summary(df: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
         "window_size",
         *[F.col(f"level_{x.lower()}{s}") for x in LEVELS for s in ("", "_pct")],
         F.round("avg", 1).alias("avg_response_ms"),
-        F.round("p95", 1).alias("p95_response_ms"),
+        settled(F.col("p95"), 1).alias("p95_response_ms"),
         F.round("std", 1).alias("stddev_ms"),
         F.col("max").alias("max_response_ms"),
         F.col("errors").alias("error_count"),
@@ -164,7 +164,7 @@ def timeline_buckets(df: DataFrame, width_s: int = 300) -> DataFrame:
         F.count_if("is_error").alias("error_count"),
         F.count_if("is_anomaly").alias("anomaly_count"),
         F.round(F.avg("response_time_ms"), 1).alias("avg_response_ms"),
-        F.round(F.percentile("response_time_ms", 0.95), 1).alias("p95_response_ms"),
+        settled(F.percentile("response_time_ms", 0.95), 1).alias("p95_response_ms"),
     )
 
 
@@ -176,7 +176,7 @@ def latency_profile(df: DataFrame, service: str | None = None, approximate: bool
     quantiles = F.percentile_approx(rt, list(points), 10_000) if approximate else F.percentile(rt, F.array(*map(F.lit, points)))
 
     def one(c: Column) -> Column:
-        return F.round(F.coalesce(c.cast("double"), F.lit(0.0)), 1)
+        return settled(F.coalesce(c.cast("double"), F.lit(0.0)), 1)
 
     out = rows.agg(
         F.count("*").alias("total_docs"), quantiles.alias("q"), F.min(rt).alias("lo"), F.max(rt).alias("hi"),

@@ -290,7 +290,7 @@ def top_sql(k: int) -> str:
     "error_rate_pct:d slow_rate_pct:d top_services:s",
     RECENT_CTE + top_sql(5) + "SELECT count(*) AS window_size, (SELECT count(*) FROM logs) AS total_in_table, "
     + LEVEL_SQL % (2, 2, 2, 2) + ", round(avg(response_time_ms), 2) AS avg_response_ms, "
-    "round(quantile_cont(response_time_ms, 0.95), 2) AS p95_response_ms, max(response_time_ms) AS max_response_ms, "
+    "round(round(quantile_cont(response_time_ms, 0.95), 6), 2) AS p95_response_ms, max(response_time_ms) AS max_response_ms, "
     "round(count(*) FILTER (is_error) / count(*) * 100, 2) AS error_rate_pct, "
     "round(count(*) FILTER (is_slow) / count(*) * 100, 2) AS slow_rate_pct, any_value(top_services) AS top_services "
     "FROM w, top",
@@ -330,7 +330,7 @@ def _(spark, sf_dir):
     "error_rate_pct:d health:s top_services:s",
     RECENT_CTE + top_sql(3) + "SELECT count(*) AS window_size, " + LEVEL_SQL % (1, 1, 1, 1)
     + ", round(avg(response_time_ms), 1) AS avg_response_ms, "
-    "round(quantile_cont(response_time_ms, 0.95), 1) AS p95_response_ms, "
+    "round(round(quantile_cont(response_time_ms, 0.95), 6), 1) AS p95_response_ms, "
     "round(stddev_samp(response_time_ms), 1) AS stddev_ms, max(response_time_ms) AS max_response_ms, "
     "count(*) FILTER (is_error) AS error_count, round(count(*) FILTER (is_error) / count(*) * 100, 2) AS error_rate_pct, "
     "CASE WHEN count(*) FILTER (is_error) / count(*) * 100 < 2 THEN 'ok' "
@@ -378,7 +378,7 @@ def service_levels_query(spark, sf_dir):
     "now_us, 300000000)) AS bucket_us FROM now_), per AS (SELECT us - us % 300000000 AS bucket_us, count(*) AS total, "
     "count(*) FILTER (is_error) AS error_count, count(*) FILTER (is_anomaly) AS anomaly_count, "
     "round(avg(response_time_ms), 1) AS avg_response_ms, "
-    "round(quantile_cont(response_time_ms, 0.95), 1) AS p95_response_ms FROM h GROUP BY 1) => "
+    "round(round(quantile_cont(response_time_ms, 0.95), 6), 1) AS p95_response_ms FROM h GROUP BY 1) => "
     "SELECT strftime(make_timestamp(s.bucket_us), '%H:%M') AS time, s.bucket_us // 1000 AS timestamp_epoch, "
     "coalesce(total, 0) AS total, coalesce(error_count, 0) AS error_count, coalesce(anomaly_count, 0) AS anomaly_count, "
     "coalesce(avg_response_ms, 0) AS avg_response_ms, coalesce(p95_response_ms, 0) AS p95_response_ms "
@@ -391,8 +391,8 @@ def _(spark, sf_dir):
 
 PROFILE_COLUMNS = "total_docs:i p50_ms:d p95_ms:d p99_ms:d min_ms:d max_ms:d avg_ms:d stddev_ms:d"
 PROFILE_SQL = (
-    "SELECT count(*) AS total_docs, round(quantile_cont(response_time_ms, 0.5), 1) AS p50_ms, "
-    "round(quantile_cont(response_time_ms, 0.95), 1) AS p95_ms, round(quantile_cont(response_time_ms, 0.99), 1) AS p99_ms, "
+    "SELECT count(*) AS total_docs, round(round(quantile_cont(response_time_ms, 0.5), 6), 1) AS p50_ms, "
+    "round(round(quantile_cont(response_time_ms, 0.95), 6), 1) AS p95_ms, round(round(quantile_cont(response_time_ms, 0.99), 6), 1) AS p99_ms, "
     "min(response_time_ms) AS min_ms, max(response_time_ms) AS max_ms, round(avg(response_time_ms), 1) AS avg_ms, "
     "round(stddev_pop(response_time_ms), 1) AS stddev_ms FROM %s"
 )

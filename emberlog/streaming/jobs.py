@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from emberlog.functions.scalar import epoch_bucket_us
+from emberlog.functions.scalar import settled
 from emberlog.operators.aggregates import rolling_summary
 from emberlog.operators.parsing import parse_logs, valid_logs
 from emberlog.schema import HISTORY_SCHEMA, RECENT_ROWS
@@ -47,7 +47,7 @@ def timeline_stream(scored: DataFrame, width_s: int = 300, lateness: str = "1 mi
         F.count_if("is_error").alias("error_count"),
         F.count_if("is_anomaly").alias("anomaly_count"),
         F.round(F.avg("response_time_ms"), 1).alias("avg_response_ms"),
-        F.round(F.percentile("response_time_ms", 0.95), 1).alias("p95_response_ms"),
+        settled(F.percentile("response_time_ms", 0.95), 1).alias("p95_response_ms"),
     ).select(F.unix_micros("window.start").alias("bucket_us"), "total", "error_count", "anomaly_count",
              "avg_response_ms", "p95_response_ms")
 
