@@ -23,6 +23,7 @@ MAX_BUCKETS = 20_000
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 32
 MIN_ROWS_TO_SPLIT = 20_000
+MAX_TREE_BOUNDS = 63
 
 _BUCKET = "__bucket"
 _ENTERS = "__enters"
@@ -53,10 +54,29 @@ class OrderSplits:
     def buckets(self) -> int:
         return len(self.bounds) + 1
 
+    def _at_or_after(self, bound: tuple) -> Column:
+        """Whether the row's key is at or after ``bound``, compared column by column."""
+        *first, last = [(F.col(c), F.lit(v).cast(t)) for c, v, t in zip(self.columns, bound, self.types)]
+        out = last[0] >= last[1]
+        for column, value in reversed(first):
+            out = (column > value) | ((column == value) & out)
+        return out
+
+    def _decision(self, low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(self._at_or_after(self.bounds[middle]), self._decision(middle + 1, high)).otherwise(
+            self._decision(low, middle)
+        )
+
     def tag(self, df: DataFrame, name: str = _BUCKET) -> DataFrame:
-        """Add the bucket of every row: the number of cut points at or below its key, by binary search."""
-        if not self.bounds:
-            return df.withColumn(name, F.lit(0))
+        """Add the bucket of every row: the number of cut points at or below its key, by binary search.
+
+        A few cut points become a compiled decision tree; many are searched in an array.
+        """
+        if len(self.bounds) <= MAX_TREE_BOUNDS:
+            return df.withColumn(name, self._decision(0, len(self.bounds)))
         fields = [T.StructField(f"k{i}", t) for i, t in enumerate(self.types)]
         schema = T.StructType([T.StructField(_BOUNDS, T.ArrayType(T.StructType(fields)))])
         # One row of at most MAX_BUCKETS cut points.
@@ -81,21 +101,25 @@ class OrderSplits:
         return df.crossJoin(F.broadcast(table)).withColumn(name, found).drop(_BOUNDS)
 
 
-def split_order(
-    df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None, rows: int | None = None
-) -> OrderSplits:
+def _cut(columns: Sequence[str], types: Sequence[T.DataType], sample: list[tuple], n: int) -> OrderSplits:
+    sample.sort()
+    picks = {sample[i * len(sample) // n] for i in range(1, n)} if sample else set()
+    return OrderSplits(tuple(columns), tuple(sorted(picks)), tuple(types))
+
+
+def _sample_keys(keys: DataFrame, n: int, rows: int) -> list[tuple]:
+    """About SAMPLES_PER_BUCKET rows per bucket, whatever the number of rows."""
+    fraction = min(1.0, n * SAMPLES_PER_BUCKET / max(rows, 1))
+    return [tuple(r) for r in keys.sample(fraction=fraction, seed=17).collect()]
+
+
+def split_order(df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None) -> OrderSplits:
     """Sample cut points for ``columns``; reads only these columns and brings a bounded sample to the driver."""
     keys = df.select(*columns)
-    types = tuple(f.dataType for f in keys.schema.fields)
-    if rows is None:
-        rows = keys.count()
+    types = [f.dataType for f in keys.schema.fields]
+    rows = keys.count()
     n = _bucket_count(rows, df.sparkSession.sparkContext.defaultParallelism, rows_per_bucket)
-    if n == 1:
-        return OrderSplits(tuple(columns), (), types)
-    fraction = min(1.0, n * SAMPLES_PER_BUCKET / rows)
-    sample = sorted(tuple(r) for r in keys.sample(fraction=fraction, seed=17).collect())
-    picks = {sample[i * len(sample) // n] for i in range(1, n)} if sample else set()
-    return OrderSplits(tuple(columns), tuple(sorted(picks)), types)
+    return _cut(columns, types, _sample_keys(keys, n, rows) if n > 1 else [], n)
 
 
 def running_totals(
@@ -162,6 +186,7 @@ def trailing_totals(
     """
     overall = dict(overall or {})
     lifetime = width_us + (1 if closed else 0)
+    splits = _split_events(df, instant, tie, lifetime, rows_per_bucket)
     rows = df.withColumns(
         {**{f"__w_{n}": v for n, v in values.items()}, **{f"__o_{n}": v for n, v in overall.items()}}
     ).withColumn(_ENTERS, F.lit(1))
@@ -174,11 +199,24 @@ def trailing_totals(
     )
     events = rows.unionByName(departures, allowMissingColumns=True)
     sums = {**{n: F.col(f"__w_{n}") for n in values}, **{n: F.coalesce(f"__o_{n}", F.lit(0)) for n in overall}}
-    totals = running_totals(events, (instant, _ENTERS, tie), sums, keys, rows_per_bucket=rows_per_bucket)
+    totals = running_totals(events, splits.columns, sums, keys, splits)
     helpers = [f"__w_{n}" for n in values] + [f"__o_{n}" for n in overall]
     return totals.filter(F.col(_ENTERS) == 1).drop(_ENTERS, *helpers)
 
 
+def _split_events(
+    df: DataFrame, instant: str, tie: str, lifetime: int, rows_per_bucket: int | None
+) -> OrderSplits:
+    """Cut points for the entries and departures of ``df``, from a sample of its rows."""
+    keys = df.select(instant, tie)
+    instant_type, tie_type = (f.dataType for f in keys.schema.fields)
+    rows = keys.count()
+    n = _bucket_count(2 * rows, df.sparkSession.sparkContext.defaultParallelism, rows_per_bucket)
+    sample = _sample_keys(keys, n, rows) if n > 1 else []
+    events = [(us, 1, t) for us, t in sample] + [(us + lifetime, 0, t) for us, t in sample]
+    return _cut((instant, _ENTERS, tie), (instant_type, T.IntegerType(), tie_type), events, n)
+
+
 def trailing_rows(
     df: DataFrame, rank: str, depth: int, values: Mapping[str, Column], rows_per_block: int = 100_000
 ) -> DataFrame:

@@ -488,18 +488,6 @@ def _(spark, sf_dir):
     return G.split_error_rates(temporal_split(Fe.base_features(narrow(spark, sf_dir))))
 
 
-@query(
-    "A18_alert_counters",
-    "current_window_count:i window_seconds:i threshold_high:i threshold_critical:i total_anomalies:i alert_rate_current:d",
-    "SELECT count(*) FILTER (us >= now_us - 60000000) AS current_window_count, 60 AS window_seconds, 10 AS threshold_high, "
-    "25 AS threshold_critical, count(*) AS total_anomalies, "
-    "round(count(*) FILTER (us >= now_us - 60000000) / 60 * 60, 1) AS alert_rate_current FROM logs, now_ WHERE is_anomaly",
-)
-def _(spark, sf_dir):
-    df = logs(spark, sf_dir)
-    return A.alert_counters(df, A.fire_alerts(df), S.latest_instant(df))
-
-
 @query(
     "A19_partition_inventory", "log_date:s n:i first_us:i last_us:i age_days:i phase:s",
     "SELECT strftime(timestamp, '%Y-%m-%d') AS log_date, count(*) AS n, min(us) AS first_us, max(us) AS last_us, "
@@ -613,13 +601,31 @@ def _chain_sql(period_us: int, keys: str) -> str:
     )
 
 
+ALERT_CTES = (
+    COUNT_CTE.replace("c AS", "counted AS") + ", c AS MATERIALIZED (SELECT * FROM counted WHERE anomaly_count > 10), "
+    + "tail AS (WITH RECURSIVE " + _chain_sql(30_000_000, "service_name") + " SELECT * FROM fired WHERE us IS NOT NULL)"
+)
+
+
+@query(
+    "A18_alert_counters",
+    "current_window_count:i window_seconds:i threshold_high:i threshold_critical:i total_anomalies:i "
+    "total_alerts_fired:i alert_rate_current:d",
+    ALERT_CTES + " => SELECT count(*) FILTER (us >= now_us - 60000000) AS current_window_count, 60 AS window_seconds, "
+    "10 AS threshold_high, 25 AS threshold_critical, count(*) AS total_anomalies, "
+    "(SELECT count(*) FROM tail) AS total_alerts_fired, "
+    "round(count(*) FILTER (us >= now_us - 60000000) / 60 * 60, 1) AS alert_rate_current FROM logs, now_ WHERE is_anomaly",
+)
+def _(spark, sf_dir):
+    df = logs(spark, sf_dir)
+    return A.alert_counters(df, A.fire_alerts(df), S.latest_instant(df))
+
+
 @query(
     "W3_alerts",
     "alert_id:s timestamp:s alert_type:s severity:s anomaly_count:i window_seconds:i rate_per_min:d threshold_used:i "
     "service_name:s sample_score:d sample_message:s",
-    COUNT_CTE.replace("c AS", "counted AS") + ", c AS MATERIALIZED (SELECT * FROM counted WHERE anomaly_count > 10), "
-    + "tail AS (WITH RECURSIVE " + _chain_sql(30_000_000, "service_name") + " SELECT * FROM fired WHERE us IS NOT NULL) => "
-    "SELECT concat('alt-', substr(md5(concat(c.service_name, '|HIGH_ANOMALY_RATE|', c.us)), 1, 8)) AS alert_id, "
+    ALERT_CTES + " => SELECT concat('alt-', substr(md5(concat(c.service_name, '|HIGH_ANOMALY_RATE|', c.us)), 1, 8)) AS alert_id, "
     "strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp, 'HIGH_ANOMALY_RATE' AS alert_type, "
     "CASE WHEN anomaly_count > 25 THEN 'CRITICAL' ELSE 'HIGH' END AS severity, anomaly_count, 60 AS window_seconds, "
     "round(anomaly_count / 60 * 60, 1) AS rate_per_min, CASE WHEN anomaly_count > 25 THEN 25 ELSE 10 END AS threshold_used, "

@@ -14,7 +14,7 @@ from emberlog.operators import features as Fe
 from emberlog.operators import search as S
 from emberlog.plans.catalog import ENTRIES, query
 from emberlog.plans.queries import listing, logs
-from emberlog.plans.queries_parsing import PARSE_CTE, raw_messages
+from emberlog.plans.queries_parsing import CYCLE, PARSE_CTE, raw_messages
 from emberlog.schema import HISTORY_SCHEMA, RECENT_ROWS
 from emberlog.session import fresh_path
 from emberlog.sources.documents import publish
@@ -22,7 +22,7 @@ from emberlog.sources.history import History
 from emberlog.sources.latest import NewestStore, alert_entries, alert_store, log_entries, recent_log_store
 from emberlog.sources.readers import message_files, training_csv
 from emberlog.sources.versions import VersionedTable
-from emberlog.streaming.alerting import AlertState, alert_batch
+from emberlog.streaming.alerting import AlertState, alert_batch, notice_batch, notice_state
 from emberlog.streaming.jobs import LogPipeline, append_stream, drop_replays, parsed_stream, timeline_stream
 from emberlog.streaming.scoring import ScoringState, serving_batch
 
@@ -257,6 +257,18 @@ def _(spark, sf_dir):
     )
 
 
+@query("W5_streaming_notices", ENTRIES["W5_notices"].columns, ENTRIES["W5_notices"].sql)
+def _(spark, sf_dir):
+    state = notice_state(spark, fresh_path(spark, "state"))
+    out = fresh_path(spark, "notices")
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        notice_batch(batch, batch_id, state, tie="seq").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    batch_stream(spark, logs(spark, sf_dir).select(*STREAM_COLUMNS), handle)
+    return spark.read.parquet(out)
+
+
 @query(
     "W6_streaming_timeline",
     "bucket_us:i total:i error_count:i anomaly_count:i avg_response_ms:d p95_response_ms:d",
@@ -303,7 +315,13 @@ def _(spark, sf_dir):
     return last.withColumn("top_services", listing("top_services", "service", "count"))
 
 
-@query("S15_fan_out", "sink:s n:i")
+@query(
+    "S15_fan_out", "sink:s n:i",
+    PARSE_CTE + f", good AS (SELECT count(*) AS n FROM parsed WHERE stage = 'ok' AND seq % {CYCLE} <> 41) => "
+    "SELECT 'history' AS sink, n FROM good UNION ALL SELECT 'recent', least(n, 500) FROM good UNION ALL SELECT 'alerts', 0 "
+    "UNION ALL SELECT 'summary', 1 UNION ALL SELECT 'feed', n FROM good UNION ALL "
+    "SELECT 'dead_letters', (SELECT count(*) FROM logs) - n FROM good",
+)
 def _(spark, sf_dir):
     root, topic = fresh_path(spark, "pipeline"), fresh_path(spark, "topic")
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +34,9 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("emberlog_scratch", default=None)
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a temporary one where unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,7 +47,23 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCRATCH.get() or work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Keep intermediate tables of the block in a folder of its own and drop it afterwards.
+
+    For work that ends with its results written, such as a micro-batch.
+    """
+    folder = fresh_path(spark, "scratch")
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

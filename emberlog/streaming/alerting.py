@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.alerts import anomaly_counts, build_alerts
 from emberlog.operators.throttle import throttle
-from emberlog.schema import ALERT_COOLDOWN_S, ALERT_HIGH, ALERT_WINDOW_S, MICROS
+from emberlog.schema import ALERT_COOLDOWN_S, ALERT_HIGH, ALERT_WINDOW_S, MICROS, NOTICE_PERIOD_S
 from emberlog.session import stage
 from emberlog.sources.versions import VersionedTable
 
@@ -70,3 +70,26 @@ def alert_batch(
     clock_row = [(int(top), int(late_so_far + late))]
     state.clock.write(scored.sparkSession.createDataFrame(clock_row, state.clock.schema), batch_id)
     return build_alerts(passed)
+
+
+def notice_state(spark: SparkSession, path: str) -> VersionedTable:
+    """Carried between batches: the last notice per service and level."""
+    return VersionedTable(spark, path, "service_name string, log_level string, last_us long")
+
+
+def notice_batch(
+    scored: DataFrame, batch_id: int, state: VersionedTable, tie: str = "arrival", rows_per_bucket: int | None = None
+) -> DataFrame:
+    """Anomaly rows of one batch to show, at most one per five seconds for each service and level.
+
+    A row behind the last notice of its key falls into that notice's period.
+    """
+    keys = ["service_name", "log_level"]
+    before = state.read(before=batch_id)
+    # One row per service and level; a row that precedes its key's last notice cannot pass.
+    fresh = scored.filter("is_anomaly").withColumn("us", F.unix_micros("timestamp")).join(before, keys, "left")
+    fresh = fresh.filter(F.col("last_us").isNull() | (F.col("us") >= F.col("last_us"))).drop("last_us")
+    passed = stage(throttle(fresh, keys, "us", tie, NOTICE_PERIOD_S * MICROS, before, rows_per_bucket), "notices")
+    latest = before.unionByName(passed.select(*keys, F.col("us").alias("last_us")))
+    state.write(latest.groupBy(*keys).agg(F.max("last_us").alias("last_us")), batch_id)
+    return passed

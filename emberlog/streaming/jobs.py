@@ -13,12 +13,12 @@ from emberlog.functions.scalar import settled
 from emberlog.operators.aggregates import rolling_summary
 from emberlog.operators.parsing import parse_logs, valid_logs
 from emberlog.schema import HISTORY_SCHEMA, RECENT_ROWS
-from emberlog.session import stage
+from emberlog.session import scratch, stage
 from emberlog.sources.documents import live_feed, strict_split
 from emberlog.sources.history import History
 from emberlog.sources.latest import NewestStore, alert_entries, alert_store, log_entries, recent_log_store
 from emberlog.sources.versions import VersionedTable
-from emberlog.streaming.alerting import AlertState, alert_batch
+from emberlog.streaming.alerting import AlertState, alert_batch, notice_batch, notice_state
 from emberlog.streaming.scoring import ScoringState, score_batch
 
 ALL_SINKS = ("history", "recent", "feed", "alerts", "summary", "dead_letters")
@@ -95,9 +95,14 @@ class LogPipeline:
         self.summaries = VersionedTable(spark, paths.at("summaries"), "summary string")
         self.scoring = ScoringState(spark, paths.at("state/scoring"))
         self.alerting = AlertState(spark, paths.at("state/alerting"))
+        self.notices = notice_state(spark, paths.at("state/notices"))
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Handle one micro-batch of parsed messages."""
+        with scratch(batch.sparkSession):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         # The arrival number is stored with the batch, so all steps below see the same one.
         parsed = stage(batch.withColumn("arrival", F.monotonically_increasing_id()), "parsed")
         fits, misfits = strict_split(parsed.filter("reject_stage IS NULL"))
@@ -121,6 +126,8 @@ class LogPipeline:
         if "alerts" in self.sinks:
             fired = alert_batch(scored, batch_id, self.alerting)
             self.alerts.update(alert_entries(fired), batch_id)
+            notices = notice_batch(scored, batch_id, self.notices)
+            notices.write.mode("overwrite").parquet(self.paths.at(f"notices/batch_id={batch_id}"))
         if "feed" in self.sinks and self.feed is not None:
             self.feed(live_feed(records), batch_id)
         if "summary" in self.sinks:
