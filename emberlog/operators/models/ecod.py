@@ -60,6 +60,7 @@ class TailModel:
         @F.pandas_udf("double")
         def rarity(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             for columns in batches:
+                columns = (columns,) if isinstance(columns, pd.Series) else columns
                 out = np.zeros(len(columns[0]))
                 for f, column in zip(features, columns):
                     value, cumulative = shared.value[f]

@@ -84,6 +84,7 @@ class Forest:
         def path_score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
             a = shared.value
             for columns in batches:
+                columns = (columns,) if isinstance(columns, pd.Series) else columns
                 x = np.column_stack([c.to_numpy(np.float64) for c in columns])
                 total = np.zeros(len(x))
                 flat = x.ravel()
