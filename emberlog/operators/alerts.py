@@ -20,6 +20,7 @@ from emberlog.schema import (
     MICROS,
     NOTICE_PERIOD_S,
 )
+from emberlog.session import stage
 
 
 def anomaly_counts(
@@ -65,7 +66,8 @@ def fire_alerts(
 ) -> DataFrame:
     """The anomaly rows that fire an alert, with their window count."""
     counted = anomaly_counts(df.filter("is_anomaly"), instant, tie, scope, rows_per_bucket)
-    over = counted.filter(F.col("anomaly_count") > ALERT_HIGH)
+    # Stored, because the throttle reads it twice and the count behind it is a shuffle of all anomalies.
+    over = stage(counted.filter(F.col("anomaly_count") > ALERT_HIGH), "over")
     return throttle(over, ["service_name"], instant, tie, ALERT_COOLDOWN_S * MICROS, rows_per_bucket=rows_per_bucket)
 
 

@@ -40,9 +40,12 @@ def fit_scaler(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> Scale
 
 def temporal_split(
     df: DataFrame, instant: str = "us", tie: str = "seq", test_fraction: float = TEST_FRACTION,
-    rows_per_bucket: int | None = None,
+    rows_per_bucket: int | None = None, rows: int | None = None,
 ) -> DataFrame:
-    """Add ``split``: the first ``int((1 - test_fraction) * n)`` rows in time order are ``train``, the rest ``test``."""
+    """Add ``split``: the first ``int((1 - test_fraction) * n)`` rows in time order are ``train``, the rest ``test``.
+
+    An existing ``rank`` is used as it is; ``rows`` saves counting them.
+    """
     numbered = df if "rank" in df.columns else ranked(df, (instant, tie), rows_per_bucket=rows_per_bucket)
-    last_train = int(df.count() * (1 - test_fraction))
+    last_train = int((df.count() if rows is None else rows) * (1 - test_fraction))
     return numbered.withColumn("split", F.when(F.col("rank") <= last_train, "train").otherwise("test"))

@@ -7,6 +7,9 @@ one instant. The sample decides the balance only, never the result.
 
 A running total is then the total of the earlier buckets plus the running total inside the own bucket; ranks,
 trailing windows, running counts per key, exact quantiles and empirical distributions all reduce to it.
+
+The input is read for its size, for the sample, for the bucket totals and for the result: pass a stored table, or
+``session.stage`` an expensive plan first. All but the last pass read the order columns and the summed values only.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emberlog.session import stage
+
 MAX_BUCKETS = 20_000
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 32
@@ -268,11 +273,15 @@ def distribution(long: DataFrame, rows_per_bucket: int | None = None) -> DataFra
     Counts per value are combined before the shuffle; cumulative counts are running totals, so neither a
     frequent value nor a feature with as many values as rows ends in one task.
     """
-    counts = long.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n"))
-    cum = running_totals(counts, ("feature", "value"), {"at_most": F.col("n")}, ("feature",),
-                         rows_per_bucket=rows_per_bucket)
+    # Stored, because the cut points, the bucket totals and the running totals each read it.
+    counts = stage(
+        long.filter(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count("*").alias("n")), "counts"
+    )
+    cum = running_totals(
+        counts, ("feature", "value"), {"at_most": F.col("n")}, ("feature",), rows_per_bucket=rows_per_bucket
+    )
     # One row per feature name.
-    totals = F.broadcast(long.filter(F.col("value").isNotNull()).groupBy("feature").agg(F.count("*").alias("total")))
+    totals = F.broadcast(counts.groupBy("feature").agg(F.sum("n").alias("total")))
     return cum.join(totals, "feature").select(
         "feature", "value", "n", "at_most", (F.col("total") - F.col("at_most") + F.col("n")).alias("at_least"), "total"
     )

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.operators.ordered import split_order
+from emberlog.session import stage
 
 _NEVER = np.iinfo(np.int64).min // 4
 
@@ -59,8 +60,8 @@ def throttle(
     if period_us <= 0:
         raise ValueError("period must be positive")
     keys = list(keys)
-    # Only the first row of an instant can pass.
-    firsts = df.groupBy(*keys, F.col(instant).alias("us")).agg(F.min(tie).alias("tie"))
+    # Only the first row of an instant can pass. Stored, because each step below reads it.
+    firsts = stage(df.groupBy(*keys, F.col(instant).alias("us")).agg(F.min(tie).alias("tie")), "firsts")
     splits = split_order(firsts, ("us", *keys), rows_per_bucket)
     tagged = splits.tag(firsts, "bucket")
 

@@ -47,7 +47,7 @@ def prepare(logs: DataFrame, mode: str = "batch", fit_on: str = "all") -> Prepar
     if mode not in ("batch", "serving") or fit_on not in ("all", "train"):
         raise ValueError("mode is batch or serving, fit_on is all or train")
     engineered = batch_features(logs) if mode == "batch" else serving_features(logs)
-    features = stage(temporal_split(engineered), "features")
+    features = stage(temporal_split(engineered, rows=logs.count()), "features")
     scaler = fit_scaler(features if fit_on == "all" else features.filter("split = 'train'"))
     return Prepared(features, stage(scaler.transform(features), "scaled"), scaler)
 

@@ -49,7 +49,7 @@ def alert_batch(
     carried = state.recent.read(before=batch_id)
     both = timely.unionByName(carried, allowMissingColumns=True)
     counted = anomaly_counts(both, "us", "tie", scope, rows_per_bucket)
-    over = counted.filter(F.col("fresh") & (F.col("anomaly_count") > ALERT_HIGH))
+    over = stage(counted.filter(F.col("fresh") & (F.col("anomaly_count") > ALERT_HIGH)), "over")
     fired_before = state.fired.read(before=batch_id)
     passed = stage(
         throttle(over, ["service_name"], "us", "tie", ALERT_COOLDOWN_S * MICROS, fired_before, rows_per_bucket), "fired"
