@@ -27,11 +27,12 @@ from emberlog.session import stage
 MAX_BUCKETS = 20_000
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 32
-MIN_ROWS_TO_SPLIT = 20_000
+MIN_ROWS_TO_SPLIT = 10_000
 MAX_TREE_BOUNDS = 63
 
 _BUCKET = "__bucket"
 _ENTERS = "__enters"
+_ROW = "__row"
 _BOUNDS = "__bounds"
 
 
@@ -39,7 +40,8 @@ def _bucket_count(rows: int, parallelism: int, rows_per_bucket: int | None) -> i
     if rows_per_bucket is not None:
         wanted = math.ceil(rows / rows_per_bucket)
     else:
-        wanted = max(math.ceil(rows / ROWS_PER_BUCKET), min(parallelism, rows // MIN_ROWS_TO_SPLIT))
+        # Several buckets per core even out their hashing to tasks.
+        wanted = max(math.ceil(rows / ROWS_PER_BUCKET), min(3 * parallelism, rows // MIN_ROWS_TO_SPLIT))
     return max(1, min(wanted, MAX_BUCKETS))
 
 
@@ -143,25 +145,20 @@ def running_totals(
     names = list(values)
     tagged = splits.tag(df.withColumns({f"__v_{n}": values[n] for n in names}))
     group = [*keys, _BUCKET]
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = {n: F.sum(f"__v_{n}").over(inside) for n in names}
-    if splits.buckets == 1:
-        return tagged.withColumns(local).drop(_BUCKET, *[f"__v_{n}" for n in names])
-
-    earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = tagged.groupBy(*group).agg(*[F.sum(f"__v_{n}").alias(f"__t_{n}") for n in names])
-    base = per_bucket.select(
-        *[F.col(c).alias(f"__g_{c}") for c in group],
-        *[F.coalesce(F.sum(f"__t_{n}").over(earlier), F.lit(0)).alias(f"__b_{n}") for n in names],
-    )
-    if not keys:
-        # At most MAX_BUCKETS rows, whatever the input.
-        base = F.broadcast(base)
-    same = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in group]
-    joined = tagged.join(base, same, "inner")
-    totals = joined.withColumns({n: local[n] + F.col(f"__b_{n}") for n in names})
-    helpers = [f"__g_{c}" for c in group] + [f"__b_{n}" for n in names] + [f"__v_{n}" for n in names]
-    return totals.drop(_BUCKET, *helpers)
+    inside = Window.partitionBy(*group).orderBy(_ROW, *order).rowsBetween(Window.unboundedPreceding, 0)
+    tagged = tagged.withColumn(_ROW, F.lit(1))
+    rows = tagged
+    if splits.buckets > 1:
+        # The total of the earlier buckets enters each group as a row in front of it, so that one shuffle on the
+        # group serves the whole computation. Without keys this side has at most MAX_BUCKETS rows.
+        earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        per_bucket = tagged.groupBy(*group).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in names])
+        before = per_bucket.select(
+            *group, *[F.sum(f"__v_{n}").over(earlier).alias(f"__v_{n}") for n in names], F.lit(0).alias(_ROW)
+        )
+        rows = tagged.unionByName(before, allowMissingColumns=True)
+    totals = rows.withColumns({n: F.sum(f"__v_{n}").over(inside) for n in names})
+    return totals.filter(F.col(_ROW) == 1).drop(_BUCKET, _ROW, *[f"__v_{n}" for n in names])
 
 
 def ranked(
