@@ -59,7 +59,7 @@ def _confusion(actual: Column, flagged: Column) -> list[Column]:
 
 
 def as_flag(prediction: Column) -> Column:
-    """Predictions as booleans: true, 1 or -1 mean anomalous in the conventions flag, 0/1 and -1/+1."""
+    """The 0 / 1 convention."""
     return prediction.cast("boolean")
 
 
