@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberlog.llm import frames, packing, sharding
+from emberlog.llm import forest, frames, packing, sharding, voronoi
 from emberlog.llm.common import read
 from emberlog.session import utc
 
@@ -21,6 +21,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op6_voronoi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voronoi.largest_products(read(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
 def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = frames.write(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2)
     return frames.scan(files)
@@ -34,8 +42,24 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), shards=24)
 
 
-PLANS: dict[str, Plan] = {f.__name__: f for f in (op7_token_frames, op9_best_fit_packing, op10_vector_shards)}
-SQL: dict[str, str] = {}
+PLANS: dict[str, Plan] = {
+    f.__name__: f
+    for f in (
+        op1_projection_forest, op6_voronoi_join, op7_token_frames, op9_best_fit_packing, op10_vector_shards,
+    )
+}
+SQL: dict[str, str] = {
+    "op6_voronoi_join": """
+WITH valid AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+  FROM valid q JOIN valid d ON d.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM placed WHERE r <= 5""",
+}
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
