@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import forest, frames, packing, repeats, sharding, voronoi
+from emberlog.llm import forest, frames, jaccard, packing, repeats, sharding, voronoi
 from emberlog.llm.common import read
 from emberlog.session import utc
 
@@ -26,6 +26,11 @@ def op1_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(read(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op2_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.near_duplicates(read(spark, sf_dir, "documents"), width=5, threshold=0.8)
+    return found.select("doc_id", "class_id", "n_links")
+
+
 def op3_passage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = repeats.without_repeats(read(spark, sf_dir, "documents"), window=35)
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -51,7 +56,7 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANS: dict[str, Plan] = {
     f.__name__: f
     for f in (
-        op1_projection_forest, op3_passage_index, op6_voronoi_join, op7_token_frames, op9_best_fit_packing, op10_vector_shards,
+        op1_projection_forest, op2_chosen_path, op3_passage_index, op6_voronoi_join, op7_token_frames, op9_best_fit_packing, op10_vector_shards,
     )
 }
 SQL: dict[str, str] = {
