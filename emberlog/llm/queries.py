@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import forest, frames, jaccard, packing, repeats, sharding, voronoi
+from emberlog.llm import forest, frames, jaccard, packing, pieces, repeats, sharding, toxicity, voronoi
 from emberlog.llm.common import read
 from emberlog.session import utc
 
@@ -36,6 +36,17 @@ def op3_passage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text under seeded merge-dropout, and whether they decode to the text."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    coded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model, dropout=0.1, seed=1), model)
+    text = F.coalesce("text", F.lit(""))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+        F.crc32(F.col("decoded").cast("binary")).alias("decoded_crc32"), (F.col("decoded") == text).alias("lossless"),
+    )
+
+
 def op6_voronoi_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voronoi.largest_products(read(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
 
@@ -45,6 +56,12 @@ def op7_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.scan(files)
 
 
+def op8_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")), threshold=0.3)
+    return scored.select("row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
@@ -56,7 +73,7 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANS: dict[str, Plan] = {
     f.__name__: f
     for f in (
-        op1_projection_forest, op2_chosen_path, op3_passage_index, op6_voronoi_join, op7_token_frames, op9_best_fit_packing, op10_vector_shards,
+        op1_projection_forest, op2_chosen_path, op3_passage_index, op5_merge_dropout, op6_voronoi_join, op7_token_frames, op8_toxicity_lexicon, op9_best_fit_packing, op10_vector_shards,
     )
 }
 SQL: dict[str, str] = {
