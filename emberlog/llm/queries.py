@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlog.llm import forest, frames, jaccard, packing, pieces, repeats, sharding, toxicity, voronoi
+from emberlog.llm import forest, frames, jaccard, lines, packing, pieces, repeats, sharding, toxicity, voronoi
 from emberlog.llm.common import read
 from emberlog.session import utc
 
@@ -36,6 +36,11 @@ def op3_passage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = lines.without_similar_lines(read(spark, sf_dir, "documents"), min_words=5, least=0.8)
+    return done.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under seeded merge-dropout, and whether they decode to the text."""
     model = tokenizer_path("piece_bpe_32k.model")
@@ -73,7 +78,7 @@ def op10_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 PLANS: dict[str, Plan] = {
     f.__name__: f
     for f in (
-        op1_projection_forest, op2_chosen_path, op3_passage_index, op5_merge_dropout, op6_voronoi_join, op7_token_frames, op8_toxicity_lexicon, op9_best_fit_packing, op10_vector_shards,
+        op1_projection_forest, op2_chosen_path, op3_passage_index, op4_simhash_lines, op5_merge_dropout, op6_voronoi_join, op7_token_frames, op8_toxicity_lexicon, op9_best_fit_packing, op10_vector_shards,
     )
 }
 SQL: dict[str, str] = {
