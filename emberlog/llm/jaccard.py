@@ -64,10 +64,17 @@ def _nodes(width: int):
     return scan
 
 
-def _chosen(path: np.ndarray, place: int, threshold: float, seed: int) -> np.ndarray:
-    """Whether each path samples a place: a keyed hash, so all sets on one path choose alike."""
-    odds = min(1.0, 1 / (threshold * TOKENS))
-    return mix(path ^ np.uint64(place * 0x51ED270B + 1), seed) < np.uint64(int(odds * (2**64 - 1)))
+def _sampled(path: np.ndarray, threshold: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and the places their paths sample: one each and, by a keyed hash, more, ``1 / threshold`` on average.
+
+    All sets on one path choose alike. No path ends for want of a sample, which keeps the chance to lose a pair low.
+    """
+    order = np.argsort(mix(path[:, None] ^ mix(np.arange(TOKENS, dtype=np.uint64), seed)[None, :], 9), axis=1)
+    whole, part = divmod(1 / threshold, 1.0)
+    count = int(whole) + (mix(path, seed + 1) < np.uint64(int(part * 2**64))).astype(np.int64)
+    rows = np.repeat(np.arange(len(path)), count)
+    nth = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+    return rows, order[rows, nth]
 
 
 def _descend(threshold: float, runs: int, level: int):
@@ -77,13 +84,14 @@ def _descend(threshold: float, runs: int, level: int):
         for batch in batches:
             sig = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint32).reshape(-1, TOKENS).astype(np.uint64)
             node = batch.column(1).to_numpy()
-            starts = [mix(np.full(len(node), r, np.uint64), 8) for r in range(runs)] if level == 0 else [batch.column(2).to_numpy().view(np.uint64)]
+            starts = [mix(np.array([r], np.uint64), 8) for r in range(runs)] if level == 0 else [batch.column(2).to_numpy().view(np.uint64)]
             for path in starts:
-                for place in range(TOKENS):
-                    at = np.nonzero(_chosen(path, place, threshold, 9 + level))[0]
-                    if len(at):
-                        longer = mix(path[at] ^ mix(sig[at, place] + np.uint64(place << 32), 10), 11)
-                        yield pa.RecordBatch.from_arrays([pa.array(longer.view(np.int64)), pa.array(node[at])], names=["path", "node"])
+                rows, place = _sampled(path, threshold, 20 + level)
+                if level == 0:
+                    rows, place = np.repeat(np.arange(len(node)), len(place)), np.tile(place, len(node))
+                    path = np.broadcast_to(path, len(node))
+                longer = mix(path[rows] ^ mix(sig[rows, place] + (place.astype(np.uint64) << np.uint64(32)), 10), 11)
+                yield pa.RecordBatch.from_arrays([pa.array(longer.view(np.int64)), pa.array(node[rows])], names=["path", "node"])
 
     return go
 
@@ -198,9 +206,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, run
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key().alias("th"), "text")
     scanned = stage(rows.mapInArrow(_nodes(width), "doc_id long, th long, node long, size long, sig binary"), "sets")
     nodes = scanned.filter("node is not null").groupBy("node").agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th")).alias("at"), F.first("size").alias("size"), F.first("sig").alias("sig")
+        F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "th")).alias("at"), F.first("size").alias("size"), F.first("sig").alias("sig")
     )
-    nodes = stage(nodes.select("node", "c", "at.doc_id", "at.th", "size", "sig"), "nodes")
+    nodes = stage(nodes.select("node", "c", "least", "at.doc_id", "at.th", "size", "sig"), "nodes")
 
     proposals: DataFrame | None = None
     paths = nodes.select("sig", "node").mapInArrow(_descend(threshold, runs, 0), "path long, node long")
@@ -243,10 +251,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, run
     links = decided.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(decided.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b")))
 
-    named = nodes.join(roots, "node", "left").select("node", "c", "doc_id", F.coalesce("root", "node").alias("root"))
-    named = named.join(links, "node", "left").select("node", "root", (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("n_links"), "doc_id")
+    named = nodes.join(roots, "node", "left").select("node", "c", "least", F.coalesce("root", "node").alias("root"))
+    named = named.join(links, "node", "left").select("node", "root", (F.coalesce("links", F.lit(0)) + F.col("c") - 1).alias("n_links"), "least")
     named = stage(named, "named")
-    names = stage(named.groupBy("root").agg(F.min("doc_id").alias("class_id")), "names")
+    names = stage(named.groupBy("root").agg(F.min("least").alias("class_id")), "names")
     named = stage(named.join(names, "root").select("node", "class_id", "n_links"), "classes")
     out = scanned.select("doc_id", "th", "node").join(named, "node", "left")
     return out.select("doc_id", "th", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
