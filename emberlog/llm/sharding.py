@@ -47,32 +47,26 @@ def shard(docs: DataFrame, shards: int = 24) -> DataFrame:
     rows = stage(rows, "sizes")
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     part = max(1, total // shards)
-    # cut large groups: about every 16th of a part's bytes is a piece of its own
     keys = ["_group", "_other"]
-    groups = rows.groupBy(*keys).agg(F.sum("size").alias("b"), F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("r"))
-    cuts = F.when(F.col("b") * 4 > part, F.ceil(F.col("b") * 16 / part)).otherwise(1).cast("int")
-    groups = stage(groups.select("*", cuts.alias("cuts")), "groups")
+    # a group above a quarter of a part is cut by id into pieces of about a 16th; there are at most 4 * shards such groups
+    large = rows.groupBy(*keys).agg(F.sum("size").alias("b")).filter(F.col("b") * 4 > part)
+    large = stage(large.select(*keys, F.ceil(F.col("b") * 16 / part).cast("int").alias("_cuts")), "cut")
+    rows = rows.join(F.broadcast(large), keys, "left")
+    rows = rows.withColumn("_piece", F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("_cuts")), F.lit(0)).cast("int")).drop("_cuts")
+    groups = rows.groupBy(*keys, "_piece").agg(F.sum("size").alias("b"), F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("r"))
+    groups = stage(groups, "groups")
     lot = F.pmod(F.col("_group"), F.lit(LOTS * shards)).cast("int")
     whole = F.col("b") * LARGE >= part
     lots = groups.filter(~whole).groupBy(lot.alias("lot")).agg(*[F.sum(c).alias(c) for c in "btr"]).collect()
     alone = groups.filter(whole).collect()
-    items, names = [], []
-    for r in alone:
-        for k in range(r["cuts"]):
-            items.append([r[c] / r["cuts"] for c in "btr"])
-            names.append((r["_group"], r["_other"], k, None))
-    for r in lots:
-        items.append([r[c] for c in "btr"])
-        names.append((None, None, None, r["lot"]))
+    items = [[r[c] for c in "btr"] for r in (*alone, *lots)]
     where = place(np.array(items, float).reshape(-1, 3), shards).tolist()
     spark = docs.sparkSession
-    big = spark.createDataFrame([(*x[:3], s) for x, s in zip(names, where, strict=True) if x[3] is None], "_group bigint, _other bigint, _piece int, _big int")
-    small = spark.createDataFrame([(x[3], s) for x, s in zip(names, where, strict=True) if x[3] is not None], "_lot int, _small int")
-    cut = spark.createDataFrame([(r["_group"], r["_other"], r["cuts"]) for r in alone], "_group bigint, _other bigint, _cuts int")
-    # bounded: at most shards * (LARGE + 16) large pieces and LOTS * shards lots
-    placed = rows.join(F.broadcast(cut), keys, "left")
-    placed = placed.withColumn("_piece", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("_cuts")).cast("int")).withColumn("_lot", lot)
-    placed = placed.join(F.broadcast(big), [*keys, "_piece"], "left").join(F.broadcast(small), "_lot", "left")
+    # bounded: at most shards * LARGE large pieces and LOTS * shards lots
+    big = [(r["_group"], r["_other"], r["_piece"], s) for r, s in zip(alone, where, strict=False)]
+    big = spark.createDataFrame(big, "_group bigint, _other bigint, _piece int, _big int")
+    small = spark.createDataFrame([(r["lot"], s) for r, s in zip(lots, where[len(alone) :], strict=True)], "_lot int, _small int")
+    placed = rows.withColumn("_lot", lot).join(F.broadcast(big), [*keys, "_piece"], "left").join(F.broadcast(small), "_lot", "left")
     placed = placed.select("doc_id", "size", "text_crc32", F.coalesce("_big", "_small").alias("shard"))
     out = ranked(placed, ["shard"], ["doc_id", "text_crc32"], "slot", n)
     return out.select(
