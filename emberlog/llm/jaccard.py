@@ -241,11 +241,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: float = 0.8, run
     )
     asked = stage(asked, "asked")
     volume = asked.agg(F.coalesce(F.sum(F.col("size") * F.col("g")), F.lit(0))).first()[0]
-    texts = rows.join(asked, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t")))
+    # by shuffle at every size: what is asked for grows with the corpus
+    texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t")))
     texts = texts.select("text", "node", "c", "root", "block", F.explode(F.sequence(F.lit(0), F.col("g") - 1)).alias("other"))
     texts = texts.select("text", "node", "c", "root", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right"))
     kind = "shingles binary, node long, c long, root long, block int, left int, right int"
-    shards = max(1, -(-volume // (CELL_SHINGLES // 4)))
+    shards = max(1, -(-volume // (CELL_SHINGLES // 16)))
     cells = texts.mapInArrow(_fetch(width), kind).groupBy(F.pmod(F.xxhash64("root", "left", "right"), F.lit(shards)).alias("shard"))
     decided = stage(cells.applyInArrow(_decide(threshold), "node long, label long, links long"), "decided")
     links = decided.groupBy("node").agg(F.sum("links").alias("links"))
@@ -266,5 +267,5 @@ def one_of_each(docs: DataFrame, width: int = 5, threshold: float = 0.8) -> Data
     found = found.groupBy("doc_id").agg(F.min("th").alias("th")).filter("doc_id is not null").union(found.filter("doc_id is null").select("doc_id", "th").distinct())
     found = stage(found.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t")), "kept")
     rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("_id"), F.col("row.text").cast("string").alias("text")).withColumn("_th", text_key())
-    kept = rows.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left_semi")
+    kept = rows.join(found.hint("merge"), F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left_semi")
     return kept.dropDuplicates(["_id", "_th"]).select("row.*")
