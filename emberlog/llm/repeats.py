@@ -140,7 +140,7 @@ def repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     words = sizes.filter("not hot").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     asked = parts.join(sizes.drop("size"), "anchor").groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "n", "anchor", "seg", "c", "hot")).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "asked")
-    texts = rows.join(asked, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select("text", "asked")
+    texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select("text", "asked")
     contents = stage(texts.mapInArrow(_contents(window), "anchor long, seg long, n long, c long, hot boolean, data binary"), "contents")
 
     shards = max(1, -(-words // SHARD))
@@ -196,6 +196,6 @@ def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row")).select(
         "row", F.col("row.doc_id").cast("long").alias("_id"), F.col("row.text").cast("string").alias("text")
     ).withColumn("_th", text_key())
-    joined = rows.join(found, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("text", "spans", "row")
+    joined = rows.join(found.hint("merge"), F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select("text", "spans", "row")
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     return joined.mapInArrow(_strip, f"n_words long, n_removed long, kept string, row {kind}")
