@@ -108,7 +108,7 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     wanted = stage(busy.union(close.select("h")).union(close.select(F.col("g").alias("h"))).distinct(), "wanted")
     asked = nodes.join(wanted, "h").groupBy(F.col("at.doc_id").alias("_d"), F.col("at.th").alias("_t")).agg(F.collect_list(F.struct("at.line", "node", "h")).alias("asked"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key().alias("th"), "text")
-    texts = rows.join(asked, rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
+    texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
     texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", normalise(F.element_at("raw", F.col("x.line") + 1)).alias("norm"))
     open_ = stage(texts.dropDuplicates(["node"]), "texts")
 
@@ -149,7 +149,7 @@ def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.
     removed = hit.groupBy("doc_id", "th").agg(F.collect_set("line").alias("removed"))
     removed = stage(removed.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "removed"), "removed")
     rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("_id"), F.col("row.text").cast("string").alias("text")).withColumn("_th", text_key())
-    rows = rows.join(removed, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
+    rows = rows.join(removed.hint("merge"), F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
     count = F.coalesce(F.size("removed"), F.lit(0))
     return rows.select(
