@@ -21,7 +21,7 @@ from emberlog.operators.models.scaling import temporal_split
 from emberlog.operators.ordered import ranked
 from emberlog.plans.catalog import query
 from emberlog.schema import MICROS, MODEL_FEATURES
-from emberlog.sources.fixture import START_US, log_table
+from emberlog.sources.fixture import CYCLE_S, INCIDENTS, START_US, log_table
 
 FEATURE_INPUT = (
     "us", "seq", "timestamp", "log_level", "service_name", "status_code", "response_time_ms", "ip_address",
@@ -120,13 +120,13 @@ def _(spark, sf_dir):
 
 @query(
     "Q1_search_filtered", PAGE,
-    "SELECT * FROM logs WHERE log_level = 'ERROR' AND service_name = 'payment-service' AND status_code = 503 "
-    "AND response_time_ms BETWEEN 20 AND 400 ORDER BY us DESC, request_id LIMIT 500",
+    "SELECT * FROM logs WHERE log_level = 'ERROR' AND service_name = 'worker' AND status_code = 503 "
+    "AND response_time_ms BETWEEN 200 AND 1500 ORDER BY us DESC, request_id LIMIT 500",
 )
 def _(spark, sf_dir):
     return S.search_logs(
-        logs(spark, sf_dir), limit=500, level="error", service="payment-service", status_code=503,
-        min_response_ms=20, max_response_ms=400,
+        logs(spark, sf_dir), limit=500, level="error", service="worker", status_code=503,
+        min_response_ms=200, max_response_ms=1500,
     ).rows
 
 
@@ -138,11 +138,11 @@ def _(spark, sf_dir):
 
 @query(
     "Q3_anomaly_search", PAGE + " anomaly_score:d",
-    "SELECT * FROM logs WHERE is_anomaly AND service_name = 'auth-service' AND anomaly_score >= 0.2 "
+    "SELECT * FROM logs WHERE is_anomaly AND service_name = 'accounts' AND anomaly_score >= 0.2 "
     "ORDER BY anomaly_score DESC, us DESC, request_id LIMIT 50",
 )
 def _(spark, sf_dir):
-    return S.search_anomalies(logs(spark, sf_dir), service="auth-service", min_score=0.2).rows
+    return S.search_anomalies(logs(spark, sf_dir), service="accounts", min_score=0.2).rows
 
 
 @query(
@@ -228,7 +228,7 @@ def _(spark, sf_dir):
 
 # --- joins ---------------------------------------------------------------------------------------------------
 
-CYCLE = "(us - 1718442000000000) // 1000000 % 1800"
+CYCLE = f"(us - {START_US}) // 1000000 % 1800"
 
 
 def incidents_until(df: DataFrame, spans=E.INCIDENT_SPANS):
@@ -248,7 +248,8 @@ def _(spark, sf_dir):
 @query("J2_tag_incidents", "request_id:s tag:s", "SELECT request_id, coalesce(incident, '-') AS tag FROM logs")
 def _(spark, sf_dir):
     df = logs(spark, sf_dir).select("request_id", "us")
-    return tag_incidents(df, incidents_until(df), name="tag").fillna("-", subset=["tag"])
+    until = df.agg(F.max("us")).first()[0]
+    return tag_incidents(df, recurring_incidents(INCIDENTS, START_US, CYCLE_S, until), name="tag").fillna("-", subset=["tag"])
 
 
 @query(
@@ -398,9 +399,9 @@ PROFILE_SQL = (
 )
 
 
-@query("A9_latency_profile", PROFILE_COLUMNS, PROFILE_SQL % "logs WHERE service_name = 'payment-service'")
+@query("A9_latency_profile", PROFILE_COLUMNS, PROFILE_SQL % "logs WHERE service_name = 'catalog'")
 def _(spark, sf_dir):
-    return G.latency_profile(logs(spark, sf_dir), service="payment-service")
+    return G.latency_profile(logs(spark, sf_dir), service="catalog")
 
 
 @query(

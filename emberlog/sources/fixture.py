@@ -1,6 +1,6 @@
-"""Application logs derived from the ``events`` table: ten rows per second with recurring incidents.
+"""Application logs derived from the ``events`` table: services from event types, latency and level from event values.
 
-Integer arithmetic only, so that any SQL engine derives the same rows (see ``FIXTURES.md``).
+Exact arithmetic only, so that any SQL engine derives the same rows.
 """
 
 from __future__ import annotations
@@ -10,43 +10,41 @@ from pyspark.sql import functions as F
 
 from emberlog.session import fresh_path, utc
 
-START_US = 1718442000000000
-
-LOGS_SQL = """
-WITH b AS (SELECT event_id, user_id, value,
-   event_id*100000 + ({EPOCH_US} % 100000) AS t_us,
-   (event_id*7919 + user_id*104729 + 13) % 1000 AS r1,
-   (event_id*6101 + user_id*7907  + 101) % 1000 AS r2,
-   (event_id*4001 + user_id*3571  + 577) % 1000 AS r3
- FROM {EVENTS}),
-c AS (SELECT *, CAST(FLOOR(t_us/1000000.0) AS BIGINT) % 1800 AS cyc FROM b),
-d AS (SELECT *, CASE WHEN cyc>=300 AND cyc<480 THEN 'payment_outage' WHEN cyc>=720 AND cyc<840 THEN 'latency_spike'
-   WHEN cyc>=1200 AND cyc<1320 THEN 'db_failure' WHEN cyc>=1500 AND cyc<1680 THEN 'ip_flood' END AS incident FROM c),
-e AS (SELECT *, CASE WHEN incident='payment_outage' AND r2<600 THEN 'payment-service'
-   WHEN incident='latency_spike' AND r2<500 THEN 'auth-service'
-   ELSE CASE (event_id*31+user_id) % 7 WHEN 0 THEN 'auth-service' WHEN 1 THEN 'payment-service' WHEN 2 THEN 'user-service'
-     WHEN 3 THEN 'order-service' WHEN 4 THEN 'inventory-service' WHEN 5 THEN 'notification-service' ELSE 'gateway' END END AS service_name FROM d),
-f AS (SELECT *, CASE WHEN incident='payment_outage' AND service_name='payment-service' THEN 'ERROR'
-   WHEN incident='db_failure' THEN CASE WHEN r1<400 THEN 'CRITICAL' WHEN r1<700 THEN 'ERROR' ELSE 'WARN' END
-   ELSE CASE WHEN r1<800 THEN 'INFO' WHEN r1<950 THEN 'WARN' WHEN r1<990 THEN 'ERROR' ELSE 'CRITICAL' END END AS log_level,
-   CAST(FLOOR(value*3) AS BIGINT) AS vb FROM e)
-SELECT {MK_TS} AS timestamp, log_level, service_name,
-  CASE service_name WHEN 'auth-service' THEN '/api/v1/login' WHEN 'payment-service' THEN '/api/v1/payments/charge'
-    WHEN 'user-service' THEN CONCAT('/api/v1/users/', CAST(1000+event_id%9000 AS {STR}))
-    WHEN 'order-service' THEN CONCAT('/api/v1/orders/', CAST(1000+event_id%9000 AS {STR}), '/status')
-    WHEN 'inventory-service' THEN '/api/v1/products' WHEN 'notification-service' THEN '/api/v1/notifications/send' ELSE '/health' END AS endpoint,
-  CAST(CASE WHEN incident='latency_spike' AND service_name='auth-service' AND r3<700 THEN 3500+vb
-    WHEN incident='db_failure' THEN 7000+vb ELSE GREATEST(1, vb) END AS INT) AS response_time_ms,
-  CAST(CASE log_level WHEN 'INFO' THEN 200 WHEN 'WARN' THEN CASE r3%4 WHEN 0 THEN 429 WHEN 1 THEN 503 ELSE 200 END
-    WHEN 'ERROR' THEN CASE WHEN incident IS NOT NULL THEN 503 WHEN r3%2=0 THEN 500 ELSE 404 END ELSE 500 END AS INT) AS status_code,
-  CASE WHEN r2<20 THEN 'bot-scanner' WHEN r2<70 THEN 'anonymous' ELSE CONCAT('u', CAST(user_id AS {STR})) END AS user_id,
-  CASE WHEN incident='ip_flood' AND r2<750 THEN CASE r3%2 WHEN 0 THEN '45.33.32.156' ELSE '104.21.19.8' END
-    ELSE CONCAT('10.0.', CAST(CAST(FLOOR(user_id/250.0) AS BIGINT) AS {STR}), '.', CAST(user_id%250 AS {STR})) END AS ip_address,
-  CONCAT(log_level, ' on ', service_name) AS message,
-  CONCAT('req-', CAST(event_id AS {STR})) AS request_id,
-  CASE r3%3 WHEN 0 THEN 'us-east-1' WHEN 1 THEN 'us-west-2' ELSE 'eu-west-1' END AS region,
-  'production' AS environment, incident, event_id AS seq
-FROM f
+START_US = 1718421600000000
+
+#: Our own recurring incidents: name, first and end second of each cycle.
+CYCLE_S = 1500
+INCIDENTS = (("disk_full", 240, 390), ("slow_dns", 660, 780), ("cache_loss", 1110, 1290), ("crawl", 1350, 1440))
+
+_SPANS = " ".join(f"WHEN sec >= {lo} AND sec < {hi} THEN '{name}'" for name, lo, hi in INCIDENTS)
+
+LOGS_SQL = f"""
+WITH base AS (SELECT event_id, user_id, event_type, CAST(ROUND(value * 100) AS BIGINT) AS cents,
+   event_id * 110000 + {{EPOCH_US}} % 90000 AS t_us FROM {{EVENTS}}),
+phased AS (SELECT *, CAST(FLOOR(t_us / 1000000.0) AS BIGINT) % {CYCLE_S} AS sec FROM base),
+named AS (SELECT *, CASE {_SPANS} END AS incident,
+   CASE WHEN event_id % 8 = 0 THEN 'mailer' WHEN event_id % 8 = 5 THEN 'metrics' WHEN event_type = 'view' THEN 'catalog'
+     WHEN event_type = 'signup' THEN 'accounts' WHEN event_type = 'click' THEN 'frontend'
+     WHEN event_type = 'purchase' THEN 'checkout' ELSE 'worker' END AS service_name FROM phased),
+timed AS (SELECT *, CAST(1 + FLOOR(cents * cents / 80000.0) + CASE WHEN incident = 'slow_dns' THEN 900 + user_id
+   WHEN incident = 'cache_loss' AND service_name = 'catalog' THEN 2500 ELSE 0 END AS INT) AS response_time_ms FROM named),
+graded AS (SELECT *, CASE WHEN response_time_ms > 9000 OR (incident = 'disk_full' AND user_id % 11 = 3) THEN 'CRITICAL'
+   WHEN response_time_ms > 5000 OR (event_type = 'error' AND cents > 4000) THEN 'ERROR'
+   WHEN response_time_ms > 1500 OR event_type = 'error' THEN 'WARN' ELSE 'INFO' END AS log_level FROM timed)
+SELECT {{MK_TS}} AS timestamp, log_level, service_name,
+  CONCAT('/', service_name, CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN '/list'
+    ELSE CONCAT('/item/', CAST(user_id AS {{STR}})) END) AS endpoint,
+  response_time_ms,
+  CAST(CASE WHEN log_level = 'CRITICAL' THEN 500 WHEN log_level = 'ERROR' THEN CASE WHEN user_id % 5 < 3 THEN 503 ELSE 404 END
+    WHEN log_level = 'WARN' AND user_id % 4 = 0 THEN 429 WHEN event_type = 'signup' THEN 201 ELSE 200 END AS INT) AS status_code,
+  CASE WHEN event_id % 53 = 0 THEN 'probe' WHEN user_id % 9 = 4 THEN 'guest' ELSE CONCAT('user-', CAST(user_id AS {{STR}})) END AS user_id,
+  CASE WHEN incident = 'crawl' AND user_id % 4 < 3 THEN CONCAT('203.0.113.', CAST(event_id % 2 + 7 AS {{STR}}))
+    ELSE CONCAT('192.168.', CAST(CAST(FLOOR(user_id / 32.0) AS BIGINT) AS {{STR}}), '.', CAST(user_id % 32 + 10 AS {{STR}})) END AS ip_address,
+  CONCAT(service_name, ' took ', CAST(response_time_ms AS {{STR}}), ' ms') AS message,
+  CONCAT('r', CAST(event_id AS {{STR}})) AS request_id,
+  CASE user_id % 3 WHEN 0 THEN 'north' WHEN 1 THEN 'south' ELSE 'coast' END AS region,
+  'staging' AS environment, incident, event_id AS seq
+FROM graded
 """
 
 _SPARK = {

@@ -20,7 +20,7 @@ SCHEMA = (
 )
 
 
-def anomalies(spark, seconds, service="payment-service"):
+def anomalies(spark, seconds, service="checkout"):
     rows = []
     for i, s in enumerate(seconds):
         ts = START + timedelta(seconds=s)
@@ -38,7 +38,7 @@ def test_threshold_is_strict(spark):
 def test_critical_above_25_and_cooldown(spark):
     fired = A.alerts(anomalies(spark, [i * 0.1 for i in range(40)] + [31.5])).orderBy("timestamp").collect()
     assert [(a.severity, a.anomaly_count) for a in fired] == [("HIGH", 11), ("CRITICAL", 41)]
-    assert fired[1].sample_log.service_name == "payment-service"
+    assert fired[1].sample_log.service_name == "checkout"
 
 
 def test_window_counts_fresh_rows_only(spark):

@@ -10,9 +10,9 @@ from emberlog.operators import parsing as P
 from emberlog.sources.documents import strict_split
 
 GOOD = {
-    "timestamp": "2024-06-15T14:30:00.123+00:00", "log_level": "ERROR", "service_name": "auth-service",
-    "endpoint": "/api/v1/login", "response_time_ms": 5200, "status_code": 503, "user_id": "u1",
-    "ip_address": "10.0.0.1", "message": "boom",
+    "timestamp": "2024-06-15T04:11:09.123+00:00", "log_level": "ERROR", "service_name": "checkout",
+    "endpoint": "/checkout/item/3", "response_time_ms": 5200, "status_code": 503, "user_id": "guest",
+    "ip_address": "192.168.0.7", "message": "boom",
 }
 
 
