@@ -67,15 +67,18 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], name: str, rows:
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
     """Connected components of the links ``a``, ``b`` (longs): one row ``node``, ``root`` per linked node, root the least member.
 
-    Each round every node takes the least root among its neighbours and then its root's root, so chains shorten
-    geometrically; rounds are written to the shared folder and end when nothing changes. Self-links and repeats are harmless.
+    Each round every node and its root take the least root among its neighbours and then their root's root, so parts
+    merge in few rounds; rounds are written to the shared folder and end when nothing changes. Self-links and repeats are harmless.
     """
     links = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     links = stage(links, "links")
     roots = stage(links.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")), "roots")
     for _ in range(most):
-        near = links.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        step = roots.join(near, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
+        near = links.join(roots.select(F.col("node").alias("b"), F.col("root").alias("near")), "b").groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near"))
+        seen = roots.join(near, "node")
+        # a node's find also moves its root, so whole parts join at once
+        told = seen.select("node", "near").union(seen.select(F.col("root").alias("node"), "near")).groupBy("node").agg(F.min("near").alias("near"))
+        step = roots.join(told, "node").select("node", F.least("root", "near").alias("root"), F.col("root").alias("old"))
         up = step.select(F.col("node").alias("up"), F.col("root").alias("above"))
         step = step.join(up, F.col("root") == F.col("up"), "left").select("node", F.coalesce(F.least("root", "above"), "root").alias("root"), "old")
         step = stage(step, "roots")

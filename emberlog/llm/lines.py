@@ -21,9 +21,9 @@ BLOCKS, APART = ((0, 13), (13, 13), (26, 13), (39, 12), (51, 12)), 3
 TABLES = tuple(combinations(range(len(BLOCKS)), len(BLOCKS) - APART))
 
 
-def normalise(line: Column) -> Column:
-    """Lower-case words of letters and digits, parted by single spaces."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def words_of_line(line: Column) -> Column:
+    """Lower-case words of letters and digits: the normalised line."""
+    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
 
 
 def _vote(votes: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,8 +49,8 @@ def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("th"), "text")
     lines = rows.select("row", "doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    lines = lines.withColumn("norm", normalise(F.col("raw"))).withColumn("words", F.split("norm", " ")).filter(F.size("words") >= min_words)
-    lines = lines.withColumn("node", F.xxhash64("norm", F.length("norm")))
+    lines = lines.withColumn("words", words_of_line(F.col("raw"))).filter(F.size("words") >= min_words)
+    lines = lines.withColumn("node", F.xxhash64("words"))
     words = lines.select("row", "doc_id", "th", "line", "node", F.posexplode("words").alias("at", "word"))
     votes = words.select("row", "doc_id", "th", "line", "node", F.floor(F.col("at") / PART).cast("int").alias("part"), F.shiftrightunsigned(F.xxhash64("word"), 1).alias("h"))
     keys = ["row", "doc_id", "th", "line", "node"]
@@ -86,13 +86,37 @@ def close_hashes(values: DataFrame) -> DataFrame:
     return keyed.join(other, near & (F.col("key").bitwiseAND(F.lit(255)) == first)).select("h", "g")
 
 
-def similar(a: str, b: str, least: float) -> Column:
-    """Edit similarity of two text columns, 1 - distance / longer length, of ``least`` or more; first tried with a narrow band."""
-    longer = f"greatest(length({a}), length({b}))"
-    full = f"cast(floor((1 - {least}) * {longer} + 1e-9) as int)"
-    narrow = f"least({full}, cast({longer} / 50 + 2 as int))"
-    lengths = f"abs(length({a}) - length({b})) <= {full}"
-    return F.expr(f"case when not {lengths} then false when levenshtein({a}, {b}, {narrow}) >= 0 then true else levenshtein({a}, {b}, {full}) >= 0 end")
+def similar(a: str, b: str, least: float) -> tuple[Column, Column]:
+    """Edit similarity of two normalised lines (single spaces), 1 - distance / longer length, of ``least`` or more.
+
+    Words that both begin or end with change no distance and are left out; the rest is first tried with a narrow band.
+    """
+    x, y = F.split(a, " "), F.split(b, " ")
+
+    def equal(u: Column, v: Column) -> Column:
+        """Number of leading words that are equal (the lines differ)."""
+        return F.array_position(F.zip_with(u, v, lambda p, q: ~p.eqNullSafe(q)), True).cast("int") - 1
+
+    head = equal(x, y)
+    tail = F.least(equal(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)) - head)
+
+    def rest(u: Column) -> Column:
+        n = F.size(u) - head - tail
+        return F.when(n <= 0, "").otherwise(F.concat(F.lit(" "), F.array_join(F.slice(u, head + 1, F.greatest(n, F.lit(0))), " ")))
+
+    full = F.floor((1 - least) * F.greatest(F.length(a), F.length(b)) + 1e-9).cast("int")
+    pair = F.struct(rest(x).alias("a"), rest(y).alias("b"), full.alias("full"))
+    narrow = "least(p.full, cast(greatest(length(p.a), length(p.b)) / 8 + 8 as int))"
+    test = F.expr(
+        "exists(array(`__pair`), p -> abs(length(p.a) - length(p.b)) <= p.full and "
+        f"(levenshtein(p.a, p.b, {narrow}) >= 0 or levenshtein(p.a, p.b, p.full) >= 0))"
+    )
+    return pair, test
+
+
+def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "same") -> DataFrame:
+    pair, test = similar(a, b, least)
+    return pairs.withColumn("__pair", pair).withColumn(name, test).drop("__pair")
 
 
 def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
@@ -109,21 +133,23 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     asked = nodes.join(wanted, "h").groupBy(F.col("at.doc_id").alias("_d"), F.col("at.th").alias("_t")).agg(F.collect_list(F.struct("at.line", "node", "h")).alias("asked"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key().alias("th"), "text")
     texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
-    texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", normalise(F.element_at("raw", F.col("x.line") + 1)).alias("norm"))
+    texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
     open_ = stage(texts.dropDuplicates(["node"]), "texts")
 
     links: DataFrame | None = None
-    near = close.union(close.select(F.col("g").alias("h"), F.col("h").alias("g")))
+    itself = wanted.select("h", F.col("h").alias("g"))
+    near = close.union(close.select(F.col("g").alias("h"), F.col("h").alias("g"))).union(itself)
     leaders: DataFrame | None = None
     while True:
         lead = stage(open_.groupBy("h").agg(F.min(F.struct("node", "norm")).alias("l")).select("h", F.col("l.node").alias("leader"), F.col("l.norm").alias("text")), "leaders")
         own = open_.join(lead, "h").filter(F.col("node") != F.col("leader"))
-        own = stage(own.select("h", "node", "norm", "leader", similar("norm", "text", least).alias("same")), "own")
-        leaders = lead if leaders is None else leaders.union(lead)
+        own = stage(keep_similar(own, "norm", "text", least).select("h", "node", "norm", "leader", "same"), "own")
+        # first leaders meet once; a later one meets all leaders so far
+        first = leaders is None
+        leaders = lead if first else leaders.union(lead)
         others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"), F.col("text").alias("other"))
-        pairs = lead.join(near, "h").join(others, "g").filter((F.col("leader") < F.col("b")) | (F.col("leader") > F.col("b")))
-        pairs = pairs.filter(similar("text", "other", least)).select(F.col("leader").alias("a"), "b")
-        # later leaders of one hash are also compared with the earlier ones
+        pairs = lead.join(close if first else near, "h").join(others, "g").filter(F.col("leader") != F.col("b"))
+        pairs = keep_similar(pairs, "text", "other", least).filter("same").select(F.col("leader").alias("a"), "b")
         found = stage(own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(pairs), "links")
         links = found if links is None else links.union(found)
         open_ = own.filter("not same").select("node", "h", "norm")
