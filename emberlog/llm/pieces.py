@@ -29,7 +29,7 @@ _NONE, _LONG = np.int64(1 << 40), 64
 class PieceCoder:
     """Ids of words for one model file, seed and share of skipped merges."""
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int, most: int = 800_000) -> None:
+    def __init__(self, path: str, dropout: float, seed: int, variants: int, most: int = 500_000) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -185,9 +185,11 @@ def coder(*key) -> PieceCoder:
     return _CODERS[key]
 
 
-def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4) -> DataFrame:
+def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, check: bool = False) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every whole text, with ``text`` beside them.
 
+    ``check`` adds ``decoded``, the text that the ids alone give back, in the same pass.
+
     ``dropout`` is the chance that a candidate merge is skipped; with 0 the ids are the model's own. Another ``seed`` cuts anew.
     Null and empty texts have no ids. Repeated rows get equal ids. Other columns are not read.
     """
@@ -198,9 +200,13 @@ def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, var
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
                 ids = code.encode(texts[a:b], doc_ids[a:b])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), batch.column(1).slice(a, b - a)], names=["doc_id", "ids", "text"])
+                out = {"doc_id": batch.column(0).slice(a, b - a), "ids": pa.array(ids, pa.binary()), "text": batch.column(1).slice(a, b - a)}
+                if check:
+                    out["decoded"] = pa.array([code.decode(x) for x in ids], pa.string())
+                yield pa.RecordBatch.from_pydict(out)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, ids binary, text string")
+    schema = "doc_id long, ids binary, text string" + (", decoded string" if check else "")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:

@@ -44,7 +44,7 @@ def op4_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under seeded merge-dropout, and whether they decode to the text."""
     model = tokenizer_path("piece_bpe_32k.model")
-    coded = pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model, dropout=0.1, seed=1), model)
+    coded = pieces.encode(read(spark, sf_dir, "documents"), model, dropout=0.1, seed=1, check=True)
     text = F.coalesce("text", F.lit(""))
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
