@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from emberlog.schema import ERROR_LEVELS, LEVELS, SLOW_MS
 
 ISO_PATTERN = (
-    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 )
 
 
@@ -34,10 +34,16 @@ def count_char(text: Column, char: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def parse_iso(text: Column) -> Column:
     """ISO-8601 text to a timestamp; a missing offset means UTC, anything else is null."""
-    trimmed = F.trim(text)
+    trimmed = strip(text)
     spaced = F.regexp_replace(trimmed, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    spaced = F.regexp_replace(spaced, r"^(\d{4}-\d{2}-\d{2}[T ]\d{2})(Z|[+-]\d{2}:\d{2})?$", "$1:00$2")
     has_time = F.length(trimmed) > 10
     return F.when(trimmed.rlike(ISO_PATTERN), F.try_to_timestamp(F.when(has_time, spaced).otherwise(trimmed)))
 
@@ -67,13 +73,13 @@ def epoch_bucket_us(us: Column, width_s: int) -> Column:
 
 
 def clean_response(value: Column) -> Column:
-    """Latency as a number: unreadable and negative values are 0."""
-    return F.greatest(F.coalesce(value.try_cast("double"), F.lit(0.0)), F.lit(0.0))
+    """Latency as a number: unreadable, NaN and negative values are 0."""
+    return F.greatest(F.coalesce(F.nanvl(value.try_cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
 
 
 def is_http_error(status: Column) -> Column:
-    """1 when the status is 400 or more; an unreadable status counts as 200."""
-    return F.when(F.coalesce(status.try_cast("double"), F.lit(200.0)) >= 400, 1).otherwise(0)
+    """1 when the status is 400 or more; an unreadable or NaN status counts as 200."""
+    return F.when(F.coalesce(F.nanvl(status.try_cast("double"), F.lit(200.0)), F.lit(200.0)) >= 400, 1).otherwise(0)
 
 
 def instant(as_of: datetime | Column | None) -> Column:

@@ -100,13 +100,12 @@ def serving_features(
     instant: str = "us",
     tie: str = "seq",
     stats: Mapping[str, float] | None = None,
-    rank_offset: int = 0,
     rows_per_bucket: int | None = None,
     rows_per_block: int = 100_000,
 ) -> DataFrame:
     """Serving features: last-100-row error rate and latency with cold start, running requests per address.
 
-    Adds ``window_size`` and ``is_warm``. ``rank_offset`` continues a numbering that started earlier.
+    Adds ``window_size`` and ``is_warm``.
     """
     stats = stats or {}
     base = base_features(df)
@@ -114,11 +113,11 @@ def serving_features(
     one = F.lit(1).cast("bigint")
     numbered = running_totals(base, (instant, tie), {"rank": one}, splits=splits)
     counted = running_totals(numbered, (instant, tie), {"ip_n": one}, ("ip_address",), splits=splits)
-    return serving_from_rank(counted, stats, rank_offset, rows_per_block).drop("ip_n")
+    return serving_from_rank(counted, stats, rows_per_block).drop("ip_n")
 
 
 def serving_from_rank(
-    df: DataFrame, stats: Mapping[str, float], rank_offset: int = 0, rows_per_block: int = 100_000
+    df: DataFrame, stats: Mapping[str, float], rows_per_block: int = 100_000
 ) -> DataFrame:
     """The serving features of rows that carry ``rt``, ``is_http_error``, ``rank`` and ``ip_n``."""
     rolled = trailing_rows(
@@ -126,7 +125,7 @@ def serving_from_rank(
         {"w_err": F.col("is_http_error").cast("bigint"), "w_rt": _exact(df)},
         rows_per_block,
     )
-    n = F.least(F.col("rank") + rank_offset, F.lit(WARM_UP_ROWS))
+    n = F.least(F.col("rank"), F.lit(WARM_UP_ROWS))
     return rolled.withColumns(
         {
             "window_size": n.cast("int"),

@@ -12,16 +12,19 @@ from emberlog.schema import MICROS
 from emberlog.session import stage
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 _BLOCK_US = 60 * MICROS
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS, name: str = "lookup") -> DataFrame:
-    """Store a small-side candidate and mark it for broadcast only when its row count is within ``limit``.
+    """Store a small-side candidate and mark it for broadcast only when its rows and its size as text are within limits.
 
     Beyond the limit it is left to a shuffle join, where adaptive execution splits hot keys.
     """
     stored = stage(df, name)
-    return F.broadcast(stored) if stored.count() <= limit else stored
+    width = F.length(F.to_json(F.struct("*")))
+    rows, size = stored.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(stored) if rows <= limit and size <= BROADCAST_BYTES else stored
 
 
 @dataclass(frozen=True)

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +14,6 @@ from emberlog.operators.ordered import distribution, melt, running_totals
 from emberlog.schema import CONTAMINATION, MODEL_FEATURES
 from emberlog.session import stage
 
-BROADCAST_VALUES = 500_000
-
 
 def skew_signs(df: DataFrame, features: Sequence[str]) -> dict[str, int]:
     """Sign of the skewness of each feature (0 for a constant one)."""
@@ -33,52 +30,18 @@ class TailModel:
     total: int
     skew: Mapping[str, int]
     offset: float | None = None
-    broadcast_values: int = BROADCAST_VALUES
 
     def _combine(self, left: Column, right: Column, skew: Column) -> Column:
         """Rarity of one feature value: the rarer tail, or both tails together when the feature is symmetric."""
         return F.when(skew == 0, left + right).otherwise(F.greatest(left, right))
 
     def score(self, df: DataFrame, name: str = "raw_score", seen: bool = False) -> DataFrame:
-        """Add the sum of feature rarities.
+        """Add the sum of feature rarities, the same way for a table of any size.
 
         ``seen`` rows are part of the fitted table; any other row is counted into the tails itself, so a value
-        beyond the fitted range stays finite.
-        """
-        return (self._score_small if self.table.count() <= self.broadcast_values else self._score_large)(df, name, seen)
-
-    def _score_small(self, df: DataFrame, name: str, seen: bool) -> DataFrame:
-        rows = self.table.select("feature", "value", "at_most").toPandas().sort_values(["feature", "value"])
-        lookup = {}
-        for f in self.features:
-            part = rows[rows["feature"] == f]
-            lookup[f] = (part["value"].to_numpy(), np.concatenate([[0], part["at_most"].to_numpy()]))
-        # Row count checked against broadcast_values.
-        shared = df.sparkSession.sparkContext.broadcast(lookup)
-        features, total, skew, own = self.features, self.total, dict(self.skew), 0 if seen else 1
-
-        @F.pandas_udf("double")
-        def rarity(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            for columns in batches:
-                columns = (columns,) if isinstance(columns, pd.Series) else columns
-                out = np.zeros(len(columns[0]))
-                for f, column in zip(features, columns):
-                    value, cumulative = shared.value[f]
-                    x = column.to_numpy(np.float64)
-                    at_most = cumulative[np.searchsorted(value, x, side="right")] + own
-                    at_least = total - cumulative[np.searchsorted(value, x, side="left")] + own
-                    left = -np.log(at_most / (total + own))
-                    right = -np.log(at_least / (total + own))
-                    out += left + right if skew[f] == 0 else np.maximum(left, right)
-                yield pd.Series(out)
-
-        return df.withColumn(name, rarity(*[F.col(f).cast("double") for f in self.features]))
-
-    def _score_large(self, df: DataFrame, name: str, seen: bool) -> DataFrame:
-        """The same with a table of any size: row values are merged into the order of the fitted values.
-
-        Distinct row values are looked up once; ``df`` needs no row id because the lookup joins on the value.
-        A feature with few values, whose values are therefore frequent, joins by broadcast.
+        beyond the fitted range stays finite, and so does a ``seen`` value that the table lacks. A null feature adds nothing.
+        Row values are merged into the order of the fitted values, distinct ones once; ``df`` needs no row id because the
+        lookup joins on the value.
         """
         wanted = melt(df, self.features).distinct().select("feature", "value", F.lit(1).alias("asks"), F.lit(0).alias("n"))
         known = self.table.select("feature", "value", F.lit(0).alias("asks"), F.col("n"))
@@ -94,7 +57,8 @@ class TailModel:
         rated = upto.select("feature", "value", "at_most").join(equal, ["feature", "value"], "left").select(
             "feature", "value",
             self._combine(
-                -F.log((F.col("at_most") + own) / (total + own)), -F.log((at_least + own) / (total + own)), skew
+                -F.log(F.greatest(F.col("at_most") + own, F.lit(1)) / (total + own)),
+                -F.log(F.greatest(at_least + own, F.lit(1)) / (total + own)), skew,
             ).alias("rarity"),
         )
         rated = stage(rated, "rarity")
@@ -103,9 +67,8 @@ class TailModel:
             part = rated.filter(F.col("feature") == f).select(
                 F.col("value").alias(f"__v{i}"), F.col("rarity").alias(f"__r{i}")
             )
-            part = F.broadcast(part) if part.count() <= self.broadcast_values else part
             out = out.join(part, F.col(f).cast("double") == F.col(f"__v{i}"), "left")
-            sum_ = sum_ + F.col(f"__r{i}")
+            sum_ = sum_ + F.coalesce(F.col(f"__r{i}"), F.lit(0.0))
         count = len(self.features)
         return out.withColumn(name, sum_).drop(*[f"__{c}{i}" for i in range(count) for c in "vr"])
 
@@ -120,9 +83,8 @@ def fit_ecod(
     df: DataFrame,
     features: Sequence[str] = MODEL_FEATURES,
     contamination: float = CONTAMINATION,
-    broadcast_values: int = BROADCAST_VALUES,
 ) -> TailModel:
     table = stage(distribution(melt(df, features)), "tails")
-    model = TailModel(tuple(features), table, df.count(), skew_signs(df, features), None, broadcast_values)
+    model = TailModel(tuple(features), table, df.count(), skew_signs(df, features))
     offset = contamination_offset(model.score(df, seen=True), "raw_score", contamination)
-    return TailModel(model.features, table, model.total, model.skew, offset, broadcast_values)
+    return TailModel(model.features, table, model.total, model.skew, offset)

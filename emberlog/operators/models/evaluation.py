@@ -128,7 +128,12 @@ def score_distribution(df: DataFrame, scores: Sequence[str], bins: int = 60) ->
     unit = (F.col("score") - F.col("lo")) / (F.col("hi") - F.col("lo") + F.lit(1e-10))
     placed = long.join(span, "model").withColumn("unit", unit)
     ends = placed.groupBy("model").agg(F.min("unit").alias("a"), F.max("unit").alias("b"))
-    scaled = (F.col("unit") - F.col("a")) / (F.col("b") - F.col("a")) * bins
+    # equal scores have the range of a histogram of one value: half a unit to each side
+    flat = F.col("a") == F.col("b")
+    ends = ends.select(
+        "model", F.when(flat, F.col("a") - 0.5).otherwise(F.col("a")).alias("a"), F.when(flat, F.col("b") + 0.5).otherwise(F.col("b")).alias("b")
+    )
+    scaled = F.try_divide(F.col("unit") - F.col("a"), F.col("b") - F.col("a")) * bins
     bin_ = F.least(F.floor(scaled), F.lit(bins - 1)).cast("int")
     return placed.join(F.broadcast(ends), "model").withColumn("bin", F.coalesce(bin_, F.lit(0))).groupBy(
         "model", "bin", "total", "a", "b"

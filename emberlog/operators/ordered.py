@@ -24,7 +24,6 @@ from pyspark.sql import types as T
 
 from emberlog.session import stage
 
-MAX_BUCKETS = 20_000
 ROWS_PER_BUCKET = 1_000_000
 SAMPLES_PER_BUCKET = 32
 MIN_ROWS_TO_SPLIT = 20_000
@@ -42,7 +41,7 @@ def _bucket_count(rows: int, parallelism: int, rows_per_bucket: int | None) -> i
     else:
         # Several buckets per core even out their hashing to tasks.
         wanted = max(math.ceil(rows / ROWS_PER_BUCKET), min(3 * parallelism, rows // MIN_ROWS_TO_SPLIT))
-    return max(1, min(wanted, MAX_BUCKETS))
+    return max(1, wanted)
 
 
 def _key_struct(columns: Sequence[str]) -> Column:
@@ -86,7 +85,7 @@ class OrderSplits:
             return df.withColumn(name, self._decision(0, len(self.bounds)))
         fields = [T.StructField(f"k{i}", t) for i, t in enumerate(self.types)]
         schema = T.StructType([T.StructField(_BOUNDS, T.ArrayType(T.StructType(fields)))])
-        # One row of at most MAX_BUCKETS cut points.
+        # One row with a cut point for each bucket of a million rows.
         table = df.sparkSession.createDataFrame([(list(self.bounds),)], schema)
         bounds, key = F.col(_BOUNDS), _key_struct(self.columns)
 
@@ -150,7 +149,7 @@ def running_totals(
     rows = tagged
     if splits.buckets > 1:
         # The total of the earlier buckets enters each group as a row in front of it, so that one shuffle on the
-        # group serves the whole computation. Without keys this side has at most MAX_BUCKETS rows.
+        # group serves the whole computation. Without keys this side has one row per bucket.
         earlier = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         per_bucket = tagged.groupBy(*group).agg(*[F.sum(f"__v_{n}").alias(f"__v_{n}") for n in names])
         before = per_bucket.select(

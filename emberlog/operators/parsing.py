@@ -52,7 +52,7 @@ def _first_failure() -> Column:
         F.when(~level.isin(*LEVELS), F.lit("range:log_level")),
         F.when(F.col("__rt") < 0, F.lit("range:response_time_ms")),
         F.when(~F.col("__sc").between(100, 599), F.lit("range:status_code")),
-        F.when(F.trim(text) == "", F.lit("range:timestamp")),
+        F.when(X.strip(text) == "", F.lit("range:timestamp")),
     ]
     return F.coalesce(*checks)
 

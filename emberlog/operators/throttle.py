@@ -55,7 +55,7 @@ def throttle(
 ) -> DataFrame:
     """The rows of ``df`` that pass. ``carried`` holds ``(*keys, last_us)`` of earlier passes, none after a row of ``df``.
 
-    ``(instant, tie)`` must identify a row within its key; ``instant`` is microseconds.
+    ``(instant, tie)`` must identify a row within its key; ``instant`` is microseconds. A null key is a key of its own.
     """
     if period_us <= 0:
         raise ValueError("period must be positive")
@@ -136,11 +136,14 @@ def throttle(
         return block.iloc[rows][[*keys, "us", "tie"]]
 
     passed = (
-        tagged.join(starts, [*keys, "bucket"])
+        tagged.join(
+            starts.select(*[F.col(c).alias(f"__s_{c}") for c in (*keys, "bucket")], "last_us"),
+            [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in (*keys, "bucket")],
+        )
         .groupBy(*keys, "bucket")
         .applyInPandas(emit, pass_schema)
         .select(*[F.col(k).alias(f"__p_{k}") for k in keys], F.col("us").alias("__p_us"), F.col("tie").alias("__p_tie"))
     )
-    same = [F.col(k) == F.col(f"__p_{k}") for k in keys]
+    same = [F.col(k).eqNullSafe(F.col(f"__p_{k}")) for k in keys]
     same += [F.col(instant) == F.col("__p_us"), F.col(tie) == F.col("__p_tie")]
     return df.join(passed, same, "left_semi")

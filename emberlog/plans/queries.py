@@ -19,7 +19,7 @@ from emberlog.operators.joins import bucket_spine, exclude_incidents, fill_spine
 from emberlog.operators.models import evaluation as E
 from emberlog.operators.models.scaling import temporal_split
 from emberlog.operators.ordered import ranked
-from emberlog.plans.catalog import query
+from emberlog.plans.catalog import ENTRIES, query
 from emberlog.schema import MICROS, MODEL_FEATURES
 from emberlog.sources.fixture import CYCLE_S, INCIDENTS, START_US, log_table
 
@@ -208,6 +208,15 @@ def _(spark, sf_dir):
     return ranked(logs(spark, sf_dir).select("request_id", "us", "seq"), ("us", "seq"))
 
 
+#: Rows per bucket of the ``_split`` queries: many buckets also on small tables.
+FEW = 137
+
+
+@query("T4_time_rank_split", ENTRIES["T4_time_rank"].columns, ENTRIES["T4_time_rank"].sql)
+def _(spark, sf_dir):
+    return ranked(logs(spark, sf_dir).select("request_id", "us", "seq"), ("us", "seq"), rows_per_bucket=FEW)
+
+
 @query(
     "D1_keep_latest", "request_id:s us:i status_code:i version:s",
     "copies AS (SELECT request_id, us, status_code, 'a' AS version FROM logs UNION ALL "
@@ -535,6 +544,23 @@ def _(spark, sf_dir):
     return Fe.batch_features(narrow(spark, sf_dir))
 
 
+@query("F02_batch_features_split", ENTRIES["F02_batch_features"].columns, ENTRIES["F02_batch_features"].sql)
+def _(spark, sf_dir):
+    return Fe.batch_features(narrow(spark, sf_dir), rows_per_bucket=FEW)
+
+
+@query(
+    "F02_dirty_input", "seq:i response_time_zscore:d is_error:d",
+    "x AS (SELECT seq, CASE WHEN seq % 7 = 0 THEN 0 ELSE response_time_ms END AS rt, seq % 7 <> 0 AND status_code >= 400 AS e FROM logs) "
+    "=> SELECT seq, (rt - avg(rt) OVER ()) / stddev_samp(rt) OVER () AS response_time_zscore, CAST(e AS DOUBLE) AS is_error FROM x",
+)
+def _(spark, sf_dir):
+    """A latency or status of the text NaN counts as 0 and as 200."""
+    bad = F.when(F.col("seq") % 7 == 0, F.lit("NaN"))
+    columns = {c: F.coalesce(bad, F.col(c).cast("string")) for c in ("response_time_ms", "status_code")}
+    return Fe.batch_features(narrow(spark, sf_dir).withColumns(columns))
+
+
 @query(
     "F03_http_error_flag", "request_id:s is_http_error:i",
     "SELECT request_id, CASE WHEN status_code >= 400 THEN 1 ELSE 0 END AS is_http_error FROM logs",
@@ -558,6 +584,11 @@ def _(spark, sf_dir):
     return Fe.serving_features(narrow(spark, sf_dir))
 
 
+@query("F07_serving_features_split", ENTRIES["F07_serving_features"].columns, ENTRIES["F07_serving_features"].sql)
+def _(spark, sf_dir):
+    return Fe.serving_features(narrow(spark, sf_dir), rows_per_bucket=FEW, rows_per_block=FEW)
+
+
 @query(
     "F09_legacy_features",
     "seq:i response_time_ms:d status_code:d log_level_int:d error_rate_5min:d avg_response_5min:d hour_of_day:d",
@@ -592,6 +623,11 @@ def _(spark, sf_dir):
     return A.anomaly_counts(logs(spark, sf_dir).filter("is_anomaly").select("us", "seq"))
 
 
+@query("F13_trailing_anomalies_split", ENTRIES["F13_trailing_anomalies"].columns, ENTRIES["F13_trailing_anomalies"].sql)
+def _(spark, sf_dir):
+    return A.anomaly_counts(logs(spark, sf_dir).filter("is_anomaly").select("us", "seq"), rows_per_bucket=FEW)
+
+
 def _chain_sql(period_us: int, keys: str) -> str:
     """Follow each key from its first row to the next row at least one period later."""
     on = " AND ".join(f"n.{k} = f.{k}" for k in keys.split(", "))

@@ -61,12 +61,12 @@ Fe_INPUT = ("us", "seq", "log_level", "status_code", "anomaly_score", "response_
                     (("p25", 0.25), ("median", 0.5), ("p75", 0.75), ("p95", 0.95), ("p99", 0.99)))
         + f", round(max({f}), 4) AS max, 0.0 AS null_pct, round(avg({f}), 6) AS scaler_mean, "
         f"round(stddev_pop({f}), 6) AS scaler_std FROM feat"
-        for f in MODEL_FEATURES if f != "response_time_zscore"
+        for f in MODEL_FEATURES
     ),
 )
 def _(spark, sf_dir):
     features = stage(Fe.batch_features(narrow(spark, sf_dir)), "features")
-    return G.feature_stats(features, tuple(f for f in MODEL_FEATURES if f != "response_time_zscore"))
+    return G.feature_stats(features)
 
 
 @query(
@@ -196,6 +196,12 @@ def _(spark, sf_dir):
     return E.score_distribution(df, ("latency", "severity"))
 
 
+@query("K14_constant", "model:s bin:i n:i density:d", "SELECT 'same' AS model, 30 AS bin, count(*) AS n, 60.0 AS density FROM logs")
+def _(spark, sf_dir):
+    """Equal scores fill the middle bin of a range one unit wide."""
+    return E.score_distribution(logs(spark, sf_dir).select(F.lit(2.5).alias("same")), ("same",))
+
+
 @query(
     "K15_cold_scores", "seq:i is_anomaly:b anomaly_score:d",
     "SELECT seq, FALSE AS is_anomaly, 0.0 AS anomaly_score FROM logs",
@@ -204,7 +210,7 @@ def _(spark, sf_dir):
     return E.score_or_cold(logs(spark, sf_dir), None)
 
 
-HBOS_FEATURES = tuple(f for f in MODEL_FEATURES if f != "response_time_zscore")
+HBOS_FEATURES = MODEL_FEATURES
 
 
 def _hbos_feature_sql(f: str) -> str:

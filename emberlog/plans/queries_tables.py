@@ -164,6 +164,26 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "L2_late_rows", "request_id:s us:i", "SELECT request_id, us FROM logs",
+)
+def _(spark, sf_dir):
+    """A compaction that stops before its files are published, rows that arrive late, and the call that finishes it."""
+    history = History(spark, fresh_path(spark, "history"))
+    df = logs(spark, sf_dir)
+    history.append(df.filter("seq % 50 <> 7"), 0)
+    history.append(df.filter("seq % 3 = 0 and seq % 50 <> 7"), 1)
+    publish = history._publish
+    history._publish = lambda *_: None
+    for day in history.days():
+        history.compact(day)
+    history._publish = publish
+    history.append(df.filter("seq % 50 = 7"), 2)
+    for day in history.days():
+        history.compact(day)
+    return history.view().withColumn("us", F.unix_micros("timestamp"))
+
+
 # --- latest-N stores -----------------------------------------------------------------------------------------
 
 @query("S08_latest_logs", "request_id:s us:i", "SELECT request_id, us FROM logs ORDER BY us DESC, request_id LIMIT 500")
@@ -226,6 +246,19 @@ def _(spark, sf_dir):
     return store.read().agg(F.count("*").alias("remaining")).withColumn("deleted", F.lit(deleted))
 
 
+@query(
+    "S10_clear_then_batch", "request_id:s us:i", "SELECT request_id, us FROM logs WHERE seq % 4 = 1 ORDER BY us DESC, request_id LIMIT 500",
+)
+def _(spark, sf_dir):
+    """After a clear, a retried earlier batch brings nothing back and the next batch starts from nothing."""
+    store, df = recent_log_store(spark, fresh_path(spark, "recent")), logs(spark, sf_dir)
+    store.update(log_entries(df.filter("seq % 4 = 0")), 0)
+    store.clear()
+    store.update(log_entries(df.filter("seq % 4 = 0")), 0)
+    store.update(log_entries(df.filter("seq % 4 = 1")), 1)
+    return store.read().select(F.col("ident").alias("request_id"), F.round(F.col("score") * 1_000_000).alias("us"))
+
+
 # --- streams -------------------------------------------------------------------------------------------------
 
 @query("W2_streaming_features", ENTRIES["F07_serving_features"].columns, ENTRIES["F07_serving_features"].sql)

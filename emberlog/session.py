@@ -34,16 +34,24 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_OWN_DIRS: dict[str, str] = {}
 _SCRATCH: ContextVar[str | None] = ContextVar("emberlog_scratch", default=None)
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``, or a temporary one where unset."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    Where it is unset a local session, as in tests, gets a temporary folder; on a cluster that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="emberlog-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    key = spark.conf.get("spark.app.id", "")
+    if key not in _OWN_DIRS:
+        _OWN_DIRS[key] = tempfile.mkdtemp(prefix="emberlog-")
+    return _OWN_DIRS[key]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -106,8 +106,9 @@ class History:
     def compact(self, day: date, target_bytes: int = TARGET_FILE_BYTES) -> int:
         """Rewrite a closed day as deduplicated files of about the target size; returns the number of files asked for.
 
-        The new files are completed in a staging directory first, which readers do not see. An interrupted call is
-        finished by the next one.
+        The new files are completed in a staging directory first, which readers do not see; its name lists no batches, so
+        the batches it replaces are recorded beside it before it is written. Only those are deleted: rows that arrive
+        meanwhile, or between an interrupted call and the one that finishes it, stay in their own batch folders.
         """
         folder = f"{self.path}/log_date={day.isoformat()}"
         staging = f"{self.path}/_compacting/log_date={day.isoformat()}"
@@ -116,19 +117,25 @@ class History:
         if not self._exists(done):
             if not self._exists(folder):
                 return 0
+            sources = [c for c in self._children(folder) if c.startswith("batch_id=")]
             files = max(1, -(-self._bytes(folder) // target_bytes))
-            rows = self.stored().filter(F.col("log_date") == F.lit(day))
+            batches = [int(c.removeprefix("batch_id=")) for c in sources]
+            self.spark.createDataFrame([(c,) for c in sources], "source string").coalesce(1).write.mode("overwrite").parquet(f"{staging}-sources")
+            rows = self.stored().filter((F.col("log_date") == F.lit(day)) & F.col("batch_id").isin(batches))
             latest = keep_latest(rows, order=("consumed_at", "batch_id", "timestamp")).drop("log_date", "batch_id")
             # Split by time and id, so that files skip on time predicates and no hot second makes a hot file.
             latest.repartitionByRange(files, "timestamp", "request_id").sortWithinPartitions("timestamp").write.mode(
                 "overwrite"
             ).parquet(staging)
-        for child in self._children(folder):
-            if child.startswith("batch_id=") and child != f"batch_id={COMPACTED}":
-                self._delete(f"{folder}/{child}")
+        self._publish(folder, staging)
+        return files
+
+    def _publish(self, folder: str, staging: str) -> None:
+        for row in self.spark.read.schema("source string").parquet(f"{staging}-sources").collect():  # one row per batch
+            if row["source"] != f"batch_id={COMPACTED}":
+                self._delete(f"{folder}/{row['source']}")
         self._delete(f"{folder}/batch_id={COMPACTED}")
         fs, target = self._fs(f"{folder}/batch_id={COMPACTED}")
         _, source = self._fs(staging)
         fs.mkdirs(target.getParent())
         fs.rename(source, target)
-        return files

@@ -36,11 +36,23 @@ class NewestStore(VersionedTable):
         out = latest.select("e.score", "ident", "e.value").orderBy(F.desc("score"), F.asc("ident")).limit(self.keep)
         self.write(out.coalesce(1), batch_id)
 
+    def read(self, before: int | None = None) -> DataFrame:
+        """The latest version, or the latest one before a batch; empty where there is none or it has been cleared."""
+        found = [v for v in self.versions() if before is None or v < before]
+        cleared = self.numbers("cleared")
+        if not found or (cleared and found[-1] <= cleared[-1]):
+            return self.spark.createDataFrame([], self.schema)
+        return super().read(before)
+
     def clear(self) -> int:
-        """Empty the store and return how many entries it had."""
+        """Empty the store and return how many entries it had.
+
+        A marker names the last batch that is cleared, so later batches start from nothing and a retried earlier one
+        brings nothing back.
+        """
         had = self.read().count()
-        version = (self.versions() or [-1])[-1] + 1
-        self.write(self.spark.createDataFrame([], ENTRY_SCHEMA), version)
+        if versions := self.versions():
+            self.spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{self.path}/cleared={versions[-1]}")
         return had
 
     def count(self) -> int:

@@ -62,15 +62,16 @@ def test_average_path_length():
     assert float(average_path(256)) == pytest.approx(10.2448, abs=1e-3)
 
 
-def test_ecod_both_ways_agree_and_match_brute_force(df):
+def test_ecod_is_finite_and_matches_brute_force(df):
     model = fit_ecod(df, FEATURES)
-    large = dataclasses.replace(model, broadcast_values=1)
     pdf = points()
     fresh = df.sparkSession.createDataFrame(pd.concat([pdf[:50], pdf[:5].assign(a=99.0, seq=[900, 901, 902, 903, 904])]))
-    for rows, seen in ((df, True), (fresh, False)):
+    for rows, seen in ((df, True), (fresh, False), (fresh, True)):
         a = model.score(rows, seen=seen).toPandas().set_index("seq").raw_score.sort_index()
-        b = large.score(rows, seen=seen).toPandas().set_index("seq").raw_score.sort_index()
-        assert len(a) == len(b) and np.allclose(a, b) and np.isfinite(a).all()
+        assert np.isfinite(a).all()
+    blank = model.score(fresh.withColumn("a", F.lit(None).cast("double"))).toPandas()
+    assert np.isfinite(blank.raw_score).all()
+    a = model.score(df, seen=True).toPandas().set_index("seq").raw_score.sort_index()
     want = np.zeros(len(pdf))
     for f in FEATURES:
         x = pdf[f].to_numpy()
