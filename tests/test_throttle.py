@@ -50,3 +50,17 @@ def test_one_row_per_instant_and_key(spark):
 def test_period_must_be_positive(spark):
     with pytest.raises(ValueError):
         throttle(spark.range(1), ["id"], "id", "id", 0)
+
+
+def test_null_keys_are_keys(spark):
+    rows = [(None if i % 3 == 0 else "a", i * 1000, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "service string, us long, seq long")
+    got = {r["seq"] for r in throttle(df, ["service"], "us", "seq", 7000, rows_per_bucket=5).collect()}
+    want = set()
+    for key in (None, "a"):
+        last = None
+        for k, us, seq in rows:
+            if k == key and (last is None or us - last >= 7000):
+                want.add(seq)
+                last = us
+    assert got == want
