@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.operators.joins import sized
-
 
 def _latest(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     row = F.struct(*[F.col(c) for c in df.columns])
@@ -22,12 +20,12 @@ def keep_latest(
 ) -> DataFrame:
     """One row per non-empty ``key``: the latest by ``order``. Rows without a key all stay.
 
-    Replays are few, so only the ids are shuffled to find the repeated ones; rows of ids that occur once
-    stay where they are when the repeated ids fit a broadcast. Copies of one id combine before the shuffle.
+    Replays are few, so only the ids are shuffled to find the repeated ones; copies of one id combine before the shuffle.
+    Nothing runs before the result is asked for.
     """
     order = [c for c in order if c in df.columns]
     ids = df.select(F.col(key).alias("__dup")).filter(F.coalesce("__dup", F.lit("")) != "")
-    repeated = sized(ids.groupBy("__dup").agg(F.count("*").alias("n")).filter("n > 1").select("__dup"), name="repeated")
+    repeated = ids.groupBy("__dup").agg(F.count("*").alias("n")).filter("n > 1").select("__dup")
     same = F.col(key) == F.col("__dup")
     once = df.join(repeated, same, "left_anti")
     return once.unionByName(_latest(df.join(repeated, same, "left_semi"), key, order))

@@ -121,9 +121,12 @@ def in_last(
 
 
 def count_in_window(df: DataFrame, seconds: float = 60, as_of: datetime | Column | None = None) -> DataFrame:
-    """Number of rows in the last ``seconds``, lower end inclusive."""
-    start = F.unix_micros(instant(as_of)) - F.lit(int(seconds * 1_000_000))
-    return df.filter(F.unix_micros("timestamp") >= start).agg(F.count("*").alias("n"))
+    """Number of rows in the last ``seconds``, lower end inclusive; prunes days and files as ``in_last`` does."""
+    start = F.timestamp_micros(F.unix_micros(instant(as_of)) - F.lit(int(seconds * 1_000_000)))
+    keep = F.col("timestamp") >= start
+    if "log_date" in df.columns:
+        keep = keep & (F.col("log_date") >= F.to_date(start))
+    return df.filter(keep).agg(F.count("*").alias("n"))
 
 
 def over_threshold(df: DataFrame, column: str, threshold: float = 90, name: str = "is_anomaly") -> DataFrame:

@@ -80,9 +80,12 @@ class History:
             return self.spark.createDataFrame([], _STORED)
         return self.spark.read.schema(_STORED).parquet(self.path)
 
-    def view(self) -> DataFrame:
-        """One row per record: the latest of each ``request_id``."""
-        return keep_latest(self.stored(), order=("consumed_at", "batch_id", "timestamp"))
+    def view(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        """One row per record: the latest of each ``request_id`` within the days asked for, both included; reads only those."""
+        rows = self.stored()
+        rows = rows.filter(F.col("log_date") >= F.lit(start)) if start else rows
+        rows = rows.filter(F.col("log_date") <= F.lit(end)) if end else rows
+        return keep_latest(rows, order=("consumed_at", "batch_id", "timestamp"))
 
     # --- lifecycle ---
 
