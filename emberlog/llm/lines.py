@@ -123,7 +123,7 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     """All lines ``doc_id, th, line, node``, and links ``a, b`` between the nodes of similar lines.
 
     Lines of one hash are linked to a leader, the least of them; those not similar to it choose another leader in the next
-    round. Leaders of close hashes are compared with each other, so no two lines are compared more than once.
+    round. Leaders of close hashes are compared with each other unless they are connected already.
     """
     lines = hashed_lines(docs, min_words)
     nodes = stage(lines.groupBy("node").agg(F.first("h").alias("h"), F.min(F.struct("doc_id", "th", "line")).alias("at")), "nodes")
@@ -136,25 +136,44 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
     open_ = stage(texts.dropDuplicates(["node"]), "texts")
 
-    links: DataFrame | None = None
+    texts = open_.select("node", "norm")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The similar ones of pairs of nodes ``a, b``."""
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("norm").alias("text")), "a")
+        both = both.join(texts.select(F.col("node").alias("b"), F.col("norm").alias("other")), "b")
+        return stage(keep_similar(both, "text", "other", least).filter("same").select("a", "b"), "links")
+
     itself = wanted.select("h", F.col("h").alias("g"))
     near = close.union(close.select(F.col("g").alias("h"), F.col("h").alias("g"))).union(itself)
+    links: DataFrame | None = None
     leaders: DataFrame | None = None
+    pairs: DataFrame | None = None
     while True:
-        lead = stage(open_.groupBy("h").agg(F.min(F.struct("node", "norm")).alias("l")).select("h", F.col("l.node").alias("leader"), F.col("l.norm").alias("text")), "leaders")
+        lead = stage(open_.groupBy("h").agg(F.min("node").alias("leader")), "leaders")
         own = open_.join(lead, "h").filter(F.col("node") != F.col("leader"))
-        own = stage(keep_similar(own, "norm", "text", least).select("h", "node", "norm", "leader", "same"), "own")
+        led = own.join(texts.select(F.col("node").alias("leader"), F.col("norm").alias("text")), "leader")
+        own = stage(keep_similar(led, "norm", "text", least).select("h", "node", "norm", "leader", "same"), "own")
         # first leaders meet once; a later one meets all leaders so far
         first = leaders is None
         leaders = lead if first else leaders.union(lead)
-        others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"), F.col("text").alias("other"))
-        pairs = lead.join(close if first else near, "h").join(others, "g").filter(F.col("leader") != F.col("b"))
-        pairs = keep_similar(pairs, "text", "other", least).filter("same").select(F.col("leader").alias("a"), "b")
-        found = stage(own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b")).union(pairs), "links")
-        links = found if links is None else links.union(found)
+        others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"))
+        met = lead.join(close if first else near, "h").join(others, "g").filter(F.col("leader") != F.col("b"))
+        met = stage(met.select(F.col("leader").alias("a"), "b"), "pairs")
+        pairs = met if first else pairs.union(met)
+        found = own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b"))
+        links = found if first else links.union(found)
         open_ = own.filter("not same").select("node", "h", "norm")
         if open_.isEmpty():
-            return lines.select("doc_id", "th", "line", "node"), links
+            break
+    # one pair of each leader first; then only pairs that those have not connected
+    links = links.union(verified(pairs.groupBy("a").agg(F.min("b").alias("b"))))
+    roots = components(links)
+    for side in ("a", "b"):
+        part = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+        pairs = pairs.join(part, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
+    links = links.union(verified(pairs.filter("root_a <> root_b").select("a", "b")))
+    return lines.select("doc_id", "th", "line", "node"), links
 
 
 def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> DataFrame:
