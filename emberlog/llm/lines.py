@@ -122,8 +122,8 @@ def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "sa
 def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """All lines ``doc_id, th, line, node``, and links ``a, b`` between the nodes of similar lines.
 
-    Lines of one hash are linked to a leader, the least of them; those not similar to it choose another leader in the next
-    round. Leaders of close hashes are compared with each other unless they are connected already.
+    Lines of one hash and about one length are linked to a leader, the least of them; those not similar to it choose another
+    leader in the next round. Leaders of close hashes are compared with each other unless they are connected already.
     """
     lines = hashed_lines(docs, min_words)
     nodes = stage(lines.groupBy("node").agg(F.first("h").alias("h"), F.min(F.struct("doc_id", "th", "line")).alias("at")), "nodes")
@@ -134,7 +134,8 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key().alias("th"), "text")
     texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
     texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
-    open_ = stage(texts.dropDuplicates(["node"]), "texts")
+    size = F.floor(F.log(F.length("norm")) / F.log(F.lit(1.1))).cast("int")
+    open_ = stage(texts.dropDuplicates(["node"]).withColumn("size", size), "texts")
 
     texts = open_.select("node", "norm")
 
@@ -150,20 +151,22 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     leaders: DataFrame | None = None
     pairs: DataFrame | None = None
     while True:
-        lead = stage(open_.groupBy("h").agg(F.min("node").alias("leader")), "leaders")
-        own = open_.join(lead, "h").filter(F.col("node") != F.col("leader"))
+        lead = stage(open_.groupBy("h", "size").agg(F.min_by(F.struct("node", F.length("norm").alias("n")), "node").alias("l")).select("h", "size", F.col("l.node").alias("leader"), F.col("l.n").alias("n")), "leaders")
+        own = open_.join(lead, ["h", "size"]).filter(F.col("node") != F.col("leader"))
         led = own.join(texts.select(F.col("node").alias("leader"), F.col("norm").alias("text")), "leader")
-        own = stage(keep_similar(led, "norm", "text", least).select("h", "node", "norm", "leader", "same"), "own")
+        own = stage(keep_similar(led, "norm", "text", least).select("h", "size", "node", "norm", "leader", "same"), "own")
         # first leaders meet once; a later one meets all leaders so far
         first = leaders is None
         leaders = lead if first else leaders.union(lead)
-        others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"))
-        met = lead.join(close if first else near, "h").join(others, "g").filter(F.col("leader") != F.col("b"))
+        others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"), F.col("n").alias("m"))
+        met = lead.join(close.union(itself) if first else near, "h").join(others, "g")
+        once = F.col("leader") < F.col("b") if first else F.col("leader") != F.col("b")
+        met = met.filter(((F.col("h") != F.col("g")) & (F.col("leader") != F.col("b")) | once) & (F.least("n", "m") >= F.lit(least - 1e-9) * F.greatest("n", "m")))
         met = stage(met.select(F.col("leader").alias("a"), "b"), "pairs")
         pairs = met if first else pairs.union(met)
         found = own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b"))
         links = found if first else links.union(found)
-        open_ = own.filter("not same").select("node", "h", "norm")
+        open_ = own.filter("not same").select("node", "h", "size", "norm")
         if open_.isEmpty():
             break
     # one pair of each leader first; then only pairs that those have not connected
