@@ -18,6 +18,8 @@ ACCUMULATORS, LANES, PART = 9, 7, 127
 _ONES, _COPIES = 0x01010101010101, 0x02040810204081
 #: First bit and number of bits of each block, and how far hashes may differ.
 BLOCKS, APART = ((0, 13), (13, 13), (26, 13), (39, 12), (51, 12)), 3
+#: Rounds of leaders, and lines of one hash that are compared with as many at a time.
+ROUNDS, BLOCK = 4, 256
 TABLES = tuple(combinations(range(len(BLOCKS)), len(BLOCKS) - APART))
 
 
@@ -119,11 +121,31 @@ def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "sa
     return pairs.withColumn("__pair", pair).withColumn(name, test).drop("__pair")
 
 
+def unconnected(members: DataFrame, meetings: DataFrame, least: float) -> DataFrame:
+    """Pairs of ``members`` (``node, h, n, root``) of hashes that meet, with different roots and lengths close enough: ``a, b, root_a, root_b, gap``.
+
+    The members of a hash are cut into blocks of about ``BLOCK``, so no task gets all pairs of a frequent one; two blocks that
+    hold one root only are left out.
+    """
+    counts = members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
+    blocked = stage(members.join(counts, "h").withColumn("block", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")).drop("k"), "blocked")
+    blocks = stage(blocked.groupBy("h", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "blocks")
+    left = blocks.select("h", F.col("block").alias("i"), "lo", "hi")
+    right = blocks.select(F.col("h").alias("g"), F.col("block").alias("j"), F.col("lo").alias("lo_b"), F.col("hi").alias("hi_b"))
+    met = meetings.join(left, "h").join(right, "g").filter((F.col("h") != F.col("g")) | (F.col("i") <= F.col("j")))
+    met = stage(met.filter(F.least("lo", "lo_b") != F.greatest("hi", "hi_b")).select("h", "i", "g", "j"), "meetings")
+    one = blocked.select("h", F.col("block").alias("i"), F.col("node").alias("a"), F.col("n"), F.col("root").alias("root_a"))
+    two = blocked.select(F.col("h").alias("g"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
+    apart = (F.col("root_a") != F.col("root_b")) & (F.least("n", "m") >= F.lit(least - 1e-9) * F.greatest("n", "m"))
+    once = (F.col("h") != F.col("g")) | (F.col("i") != F.col("j")) | (F.col("a") < F.col("b"))
+    return met.join(one, ["h", "i"]).join(two, ["g", "j"]).filter(apart & once).select("a", "b", "root_a", "root_b", F.abs(F.col("n") - F.col("m")).alias("gap"))
+
+
 def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """All lines ``doc_id, th, line, node``, and links ``a, b`` between the nodes of similar lines.
 
-    Lines of one hash and about one length are linked to a leader, the least of them; those not similar to it choose another
-    leader in the next round. Leaders of close hashes are compared with each other unless they are connected already.
+    Lines of one hash and about one length are first compared with a leader, the least of them; those not similar to it choose
+    another one in the next round. Then all lines of equal and close hashes are compared unless they are connected already.
     """
     lines = hashed_lines(docs, min_words)
     nodes = stage(lines.groupBy("node").agg(F.first("h").alias("h"), F.min(F.struct("doc_id", "th", "line")).alias("at")), "nodes")
@@ -135,9 +157,9 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
     texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
     size = F.floor(F.log(F.length("norm")) / F.log(F.lit(1.1))).cast("int")
-    open_ = stage(texts.dropDuplicates(["node"]).withColumn("size", size), "texts")
+    every = open_ = stage(texts.dropDuplicates(["node"]).withColumn("size", size), "texts")
 
-    texts = open_.select("node", "norm")
+    texts = every.select("node", "norm")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The similar ones of pairs of nodes ``a, b``."""
@@ -145,37 +167,28 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
         both = both.join(texts.select(F.col("node").alias("b"), F.col("norm").alias("other")), "b")
         return stage(keep_similar(both, "text", "other", least).filter("same").select("a", "b"), "links")
 
-    itself = wanted.select("h", F.col("h").alias("g"))
-    near = close.union(close.select(F.col("g").alias("h"), F.col("h").alias("g"))).union(itself)
     links: DataFrame | None = None
-    leaders: DataFrame | None = None
-    pairs: DataFrame | None = None
-    while True:
-        lead = stage(open_.groupBy("h", "size").agg(F.min_by(F.struct("node", F.length("norm").alias("n")), "node").alias("l")).select("h", "size", F.col("l.node").alias("leader"), F.col("l.n").alias("n")), "leaders")
+    for _ in range(ROUNDS):
+        lead = stage(open_.groupBy("h", "size").agg(F.min("node").alias("leader")), "leaders")
         own = open_.join(lead, ["h", "size"]).filter(F.col("node") != F.col("leader"))
         led = own.join(texts.select(F.col("node").alias("leader"), F.col("norm").alias("text")), "leader")
         own = stage(keep_similar(led, "norm", "text", least).select("h", "size", "node", "norm", "leader", "same"), "own")
-        # first leaders meet once; a later one meets all leaders so far
-        first = leaders is None
-        leaders = lead if first else leaders.union(lead)
-        others = leaders.select(F.col("h").alias("g"), F.col("leader").alias("b"), F.col("n").alias("m"))
-        met = lead.join(close.union(itself) if first else near, "h").join(others, "g")
-        once = F.col("leader") < F.col("b") if first else F.col("leader") != F.col("b")
-        met = met.filter(((F.col("h") != F.col("g")) & (F.col("leader") != F.col("b")) | once) & (F.least("n", "m") >= F.lit(least - 1e-9) * F.greatest("n", "m")))
-        met = stage(met.select(F.col("leader").alias("a"), "b"), "pairs")
-        pairs = met if first else pairs.union(met)
         found = own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        links = found if first else links.union(found)
+        links = found if links is None else links.union(found)
         open_ = own.filter("not same").select("node", "h", "size", "norm")
         if open_.isEmpty():
             break
-    # one pair of each leader first; then only pairs that those have not connected
-    links = links.union(verified(pairs.groupBy("a").agg(F.min("b").alias("b"))))
-    roots = components(links)
-    for side in ("a", "b"):
-        part = roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
-        pairs = pairs.join(part, side, "left").withColumn(f"root_{side}", F.coalesce(f"root_{side}", side))
-    links = links.union(verified(pairs.filter("root_a <> root_b").select("a", "b")))
+    # leaders only save work: every pair that they leave unconnected is verified, after one pair of each part and of two parts
+    meetings = close.union(wanted.select("h", F.col("h").alias("g")))
+    members = stage(every.select("node", "h", F.length("norm").alias("n")), "members")
+    for first in (["root_a"], ["root_a", "root_b"], []):
+        roots = components(links)
+        pairs = unconnected(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), meetings, least)
+        if first:
+            pairs = stage(pairs.groupBy(*first).agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
+            if pairs.isEmpty():
+                break
+        links = links.union(verified(pairs.select("a", "b")))
     return lines.select("doc_id", "th", "line", "node"), links
 
 

@@ -206,6 +206,30 @@ def test_similar_lines(make, lined):
     assert sum(r["n_removed"] for r in got) == gone > 30
 
 
+@pytest.mark.parametrize("order", [(28, 34, 35, 43), (43, 35, 34, 28), (35, 28, 43, 34)])
+def test_links_through_followers(make, order):
+    docs = ["ab " * k for k in order]  # a chain of lengths, two of them in one length class
+    got = lines.without_similar_lines(make(docs)).collect()
+    assert sum(r["n_removed"] for r in got) == 3
+
+
+@pytest.mark.parametrize("block", [2, 256])
+def test_links_of_one_hash_against_all_pairs(make, monkeypatch, block):
+    monkeypatch.setattr(lines, "BLOCK", block)
+    r = random.Random(5)
+    bag, docs = vocabulary(5, 6), []
+    for k in sorted(r.sample(range(5, 300), 45)):  # gaps in the lengths
+        docs.append("ab " * k)
+    for _ in range(40):  # one hash, mostly not similar
+        w = bag * 2
+        r.shuffle(w)
+        docs.append(" ".join(w))
+    r.shuffle(docs)
+    want, gone = kept_lines(docs)
+    got = lines.without_similar_lines(make(docs)).collect()
+    assert {x["row"]["doc_id"]: x["text"] for x in got} == want and sum(x["n_removed"] for x in got) == gone > 10
+
+
 def test_lines_of_repeated_and_null_rows(make):
     text = "one two three four five\nanother line of five words"
     got = lines.without_similar_lines(make([(4, text), (4, text), (2, text), (None, None)])).collect()
