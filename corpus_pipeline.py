@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of similar lines one stays in the corpus; documents keep their other lines."""
-    done = lines.without_similar_lines(docs, min_words=5, least=0.8)
+    done = lines.without_similar_lines(docs, min_words=5, least=0.8, short_copies=True)
     return _with_text(done, docs, F.col("text"), F.col("n_removed") > 0)
 
 

@@ -46,13 +46,17 @@ def _vote(votes: DataFrame, keys: list[str]) -> DataFrame:
     return counted.select(*keys, total.alias("h"))
 
 
-def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, th, line, node, h`` of every line with ``min_words`` words or more; ``node`` names its normalised text."""
+def _lines(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, th, line, words, node`` of every line; ``node`` names its normalised text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("th"), "text")
     lines = rows.select("row", "doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    lines = lines.withColumn("words", words_of_line(F.col("raw"))).filter(F.size("words") >= min_words)
-    lines = lines.withColumn("node", F.xxhash64("words"))
+    return lines.withColumn("words", words_of_line(F.col("raw"))).withColumn("node", F.xxhash64("words")).drop("raw")
+
+
+def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """``doc_id, th, line, node, h`` of every line with ``min_words`` words or more."""
+    lines = _lines(docs).filter(F.size("words") >= min_words)
     words = lines.select("row", "doc_id", "th", "line", "node", F.posexplode("words").alias("at", "word"))
     votes = words.select("row", "doc_id", "th", "line", "node", F.floor(F.col("at") / PART).cast("int").alias("part"), F.shiftrightunsigned(F.xxhash64("word"), 1).alias("h"))
     keys = ["row", "doc_id", "th", "line", "node"]
@@ -192,15 +196,19 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
     return lines.select("doc_id", "th", "line", "node"), links
 
 
-def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> DataFrame:
+def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.8, short_copies: bool = False) -> DataFrame:
     """Every row of ``docs`` as ``row``, with ``n_lines``, ``n_removed`` and ``text`` of the lines that stay.
 
     Lines are linked if they are equal when normalised, or if their SimHashes differ in at most ``APART`` bits and their edit
     similarity is ``least`` or more; of each connected group the occurrence with the least document id and line stays. Lines
-    of fewer than ``min_words`` words always stay. Rows equal in id and text get equal results; a null text has no lines and stays
+    of fewer than ``min_words`` words are linked to none; with ``short_copies`` one of those that are equal when normalised stays,
+    and lines without any word all stay. Rows equal in id and text get equal results; a null text has no lines and stays
     null. Whole lines count, however long. Columns of any name pass through in ``row``.
     """
     lines, links = line_groups(docs, min_words, least)
+    if short_copies:
+        short = _lines(docs).filter((F.size("words") > 0) & (F.size("words") < min_words))
+        lines = lines.union(stage(short.select("doc_id", "th", "line", "node"), "short"))
     roots = components(links)
     sizes = lines.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "line")).alias("at"))
     named = sizes.join(roots, "node", "left").select("node", "c", "at", F.coalesce("root", "node").alias("root"))

@@ -37,7 +37,7 @@ def op3_passage_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = lines.without_similar_lines(read(spark, sf_dir, "documents"), min_words=5, least=0.8)
+    done = lines.without_similar_lines(read(spark, sf_dir, "documents"), min_words=5, least=0.8, short_copies=True)
     return done.select("row.doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 

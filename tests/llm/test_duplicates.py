@@ -237,6 +237,13 @@ def test_lines_of_repeated_and_null_rows(make):
     assert lines.without_similar_lines(make([])).count() == 0
 
 
+def test_copies_of_short_lines(make):
+    docs = ["Home\n\n一二三四五六七八九十\none two", "home!\n\n一二三四五六七八九十\nOne  two.\none three", "\nhome", None]
+    got = lines.without_similar_lines(make(docs), short_copies=True).collect()
+    assert {r["row"]["doc_id"]: (r["text"], r["n_removed"]) for r in got} == {0: (docs[0], 0), 1: ("\none three", 3), 2: ("", 1), 3: (None, 0)}
+    assert sum(r["n_removed"] for r in lines.without_similar_lines(make(docs)).collect()) == 0
+
+
 def test_line_plan_has_no_python(make, lined):
     done = lines.without_similar_lines(make(lined))
     plan = done._jdf.queryExecution().toString()
