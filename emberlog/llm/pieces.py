@@ -1,9 +1,9 @@
 """SentencePiece encoding with seeded merge-dropout, and decoding.
 
 Words are merged as the model's own encoder does, best candidate first from an agenda; each candidate is skipped where a keyed
-hash of the seed, the variant, the pair and its place says so. A word's occurrences are spread over some variants by a keyed
-hash of document and place, so equal words are cut differently while equal (word, variant) are cut once. Any cut decodes to
-the same text.
+hash of the seed, the document, the word's position, the pair and its place says so. An agenda depends only on those skipped
+candidates that would have been best, so words are cached with these: an occurrence starts at the cut without any, goes on to the
+one without the first merge that its hashes skip, and ends where they skip none. Any cut decodes to the same text.
 """
 
 from __future__ import annotations
@@ -27,9 +27,9 @@ _NONE, _LONG = np.int64(1 << 40), 64
 
 
 class PieceCoder:
-    """Ids of words for one model file, seed and share of skipped merges."""
+    """Ids of words for one model file, seed and share of skipped merges; ``variants`` limits the cuts of a word, 0: not at all."""
 
-    def __init__(self, path: str, dropout: float, seed: int, variants: int, most: int = 500_000) -> None:
+    def __init__(self, path: str, dropout: float, seed: int, variants: int = 0, most: int = 500_000) -> None:
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -43,6 +43,12 @@ class PieceCoder:
         self.n, self.limit, self.seed, self.variants, self.most = n, min(int(dropout * 2**64), 2**64 - 1), seed, variants, most
         self.sign = np.array([self.bytes[b] for b in SPACE.encode()], "<u4").tobytes()
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
+        #: Cuts without limit: ids, merges and (word, skipped merges) by number, the first of each word, and those that follow.
+        self.cuts: list[bytes] = []
+        self.paths: list[np.ndarray] = []
+        self.of: list[tuple[str, tuple[int, ...]]] = []
+        self.root: dict[str, int] = {}
+        self.next: dict[int, int] = {}
         # symbols: pieces by id, then characters that only occur inside pieces, then any other character
         symbols = dict(self.ids)
         for c in sorted({c for p in self.ids for c in p} - symbols.keys()):
@@ -57,44 +63,57 @@ class PieceCoder:
         )
         self.pairs, self.ranks, self.merged = (np.array(x, np.int64) for x in zip(*merges, strict=True))
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Place in the merge table of each pair of neighbours, as rank * 2**20 + place; none where there is none or the hash skips it."""
+    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, row: np.ndarray, keys: np.ndarray | None, skipped: np.ndarray | None) -> np.ndarray:
+        """Place in the merge table of each pair of neighbours, as rank * 2**20 + place; none where there is none or it is skipped."""
         pair = left << 21 | right
         at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
         out = np.where(self.pairs[at] == pair, self.ranks[at] << 20 | at, _NONE)
-        if self.limit:
-            drop = mix(key ^ mix((self.ranks[at] << 24 | place).astype(np.uint64), 12), 13) < np.uint64(self.limit)
+        if skipped is not None and len(skipped):
+            code = row << 34 | self.ranks[at] << 8 | place
+            out[skipped[np.minimum(np.searchsorted(skipped, code), len(skipped) - 1)] == code] = _NONE
+        if keys is not None and self.limit:
+            drop = mix(keys[row] ^ mix((self.ranks[at] << 24 | place).astype(np.uint64), 12), 13) < np.uint64(self.limit)
             out[drop] = _NONE
         return out
 
     def units(self, words: list[str], variant: int) -> list[bytes]:
-        """Ids of words, all merged together: each round takes the best candidate of every word's agenda."""
+        """Ids of words in one variant."""
         import xxhash
 
+        keys = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) for w in words]
+        return self._merge(words, np.array(keys, np.uint64))
+
+    def _merge(self, words: list[str], keys: np.ndarray | None, skipped: np.ndarray | None = None, trace: list | None = None) -> list[bytes]:
+        """Ids of words, all merged together: each round takes the best candidate of every word's agenda.
+
+        Candidates are skipped by the hashes of ``keys``, or where ``skipped`` (sorted) names them; ``trace`` gets the merges.
+        """
         out: list[bytes] = [b""] * len(words)
         if not words:
             return out
         sizes = np.array([len(w) for w in words])
         sym = self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)]
-        keys = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"), self.seed * 1_000_003 + variant) for w in words], np.uint64)
         row = np.repeat(np.arange(len(words)), sizes)
         place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         chars = None if (sym < self.n).all() else "".join(words)
         origin = np.arange(len(row))
         best = np.full(len(row), _NONE)
         joint = np.nonzero(row[:-1] == row[1:])[0]
-        best[joint] = self._candidates(sym[joint], sym[joint + 1], place[joint], keys[row[joint]])
+        best[joint] = self._candidates(sym[joint], sym[joint + 1], place[joint], row[joint], keys, skipped)
         while len(row):
             first = np.nonzero(np.r_[True, row[1:] != row[:-1]])[0]
-            least = np.minimum.reduceat(best, first)
+            # of equal ranks the leftmost goes first, whatever its halves
+            least = np.minimum.reduceat(best >> 20, first)
             size = np.diff(np.r_[first, len(row)])
-            if (least == _NONE).any():
-                done = np.repeat(least == _NONE, size)
+            if (least == _NONE >> 20).any():
+                done = np.repeat(least == _NONE >> 20, size)
                 self._emit(out, row[done], sym[done], origin[done], chars)
                 row, sym, place, origin, best = (x[~done] for x in (row, sym, place, origin, best))
                 continue
-            hits = np.nonzero(best == np.repeat(least, size))[0]
+            hits = np.nonzero(best >> 20 == np.repeat(least, size))[0]
             at = hits[np.r_[True, row[hits[1:]] != row[hits[:-1]]]]
+            if trace is not None:
+                trace.append((row[at], best[at] >> 20 << 24 | place[at]))
             sym[at] = self.merged[best[at] & 0xFFFFF]
             keep = np.ones(len(row), bool)
             keep[at + 1] = False
@@ -105,7 +124,7 @@ class PieceCoder:
             best[at] = _NONE
             joint = changed[(changed + 1 < len(row))]
             joint = joint[row[joint] == row[joint + 1]]
-            best[joint] = self._candidates(sym[joint], sym[joint + 1], place[joint], keys[row[joint]])
+            best[joint] = self._candidates(sym[joint], sym[joint + 1], place[joint], row[joint], keys, skipped)
         return out
 
     def _emit(self, out: list[bytes], row: np.ndarray, sym: np.ndarray, origin: np.ndarray, chars: str | None) -> None:
@@ -122,8 +141,69 @@ class PieceCoder:
                     ids += [s] if s < self.n else [self.bytes[x] for x in chars[o].encode("utf-8", "surrogatepass")]
                 out[r] = np.array(ids, "<u4").tobytes()
 
+    def _cut(self, asked: list[tuple[str, tuple[int, ...]]]) -> range:
+        """Numbers of new cuts, of words without the merges given."""
+        trace: list[tuple[np.ndarray, np.ndarray]] = []
+        skipped = [r << 34 | c >> 24 << 8 | c & 0xFFFFFF for r, (_, codes) in enumerate(asked) for c in codes]
+        self.cuts += self._merge([w for w, _ in asked], None, np.array(sorted(skipped), np.int64), trace)
+        row, code = (np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 2, *trace, strict=True))
+        order = np.argsort(row, kind="stable")
+        self.paths += np.split(code[order], np.searchsorted(row[order], np.arange(1, len(asked))))
+        self.of += asked
+        return range(len(self.of) - len(asked), len(self.of))
+
+    def _forget(self) -> None:
+        """Keep the first cuts, as frequent words are met first; a cut comes after the one it follows from."""
+        if len(self.of) > self.most:
+            n = self.most // 2
+            self.cuts, self.paths, self.of = self.cuts[:n], self.paths[:n], self.of[:n]
+            self.root, self.next = ({k: v for k, v in d.items() if v < n} for d in (self.root, self.next))
+
+    def occurrences(self, words: list[str], keys: np.ndarray) -> list[bytes]:
+        """Ids of words, each with a key of its own."""
+        self._forget()
+        lacking = sorted({w for w in words if w not in self.root and w != _SIGN and len(w) <= _LONG})
+        if lacking:
+            self.root.update(zip(lacking, self._cut([(w, ()) for w in lacking]), strict=True))
+        cut = np.array([self.root.get(w, -1) for w in words], np.int64)
+        left = np.nonzero(cut >= 0)[0] if self.limit else np.zeros(0, np.int64)
+        while len(left):
+            kinds, which = np.unique(cut[left], return_inverse=True)
+            paths = [self.paths[k] for k in kinds.tolist()]
+            sizes = np.array([len(p) for p in paths])
+            some = sizes[which] > 0
+            left, which = left[some], which[some]
+            if not len(left):
+                break
+            size = sizes[which]
+            first = np.cumsum(size) - size
+            nth = np.arange(size.sum()) - np.repeat(first, size)
+            codes = mix(np.concatenate(paths).astype(np.uint64), 12)[nth + np.repeat((np.cumsum(sizes) - sizes)[which], size)]
+            drop = mix(np.repeat(keys[left], size) ^ codes, 13) < np.uint64(self.limit)
+            nth = np.minimum.reduceat(np.where(drop, nth, _LONG), first)
+            left, nth = left[nth < _LONG], nth[nth < _LONG]
+            follow, which = np.unique(cut[left] << 8 | nth, return_inverse=True)
+            new = [x for x in follow.tolist() if x not in self.next]
+            if new:
+                asked = [(self.of[x >> 8][0], (*self.of[x >> 8][1], int(self.paths[x >> 8][x & 255]))) for x in new]
+                self.next.update(zip(new, self._cut(asked), strict=True))
+            cut[left] = np.array([self.next[x] for x in follow.tolist()], np.int64)[which]
+        out = [self.cuts[k] if k >= 0 else self.sign for k in cut.tolist()]
+        long = [i for i in np.nonzero(cut < 0)[0].tolist() if words[i] != _SIGN]
+        for i, x in zip(long, self._merge([words[i] for i in long], keys[long]), strict=True):
+            out[i] = x
+        return out
+
     def encode(self, texts: list[str | None], doc_ids: list[int | None]) -> list[bytes]:
         """Ids of whole texts; null and empty texts have none. The model's space sign within a text is kept as bytes."""
+        if self.variants:
+            return self._encode_in_variants(texts, doc_ids)
+        split = [self._words(t) if t else [] for t in texts]
+        keys = [self._keys(len(w), d) for w, d in zip(split, doc_ids, strict=True)]
+        ids = iter(self.occurrences([w for words in split for w in words], np.concatenate([np.zeros(0, np.uint64), *keys])))
+        return [b"".join(islice(ids, len(words))) for words in split]
+
+    def _encode_in_variants(self, texts: list[str | None], doc_ids: list[int | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         found: dict[int, list] = {}
         lacking: list[set[str]] = [set() for _ in range(self.variants)]
@@ -165,9 +245,13 @@ class PieceCoder:
         parts = text.split(" ")
         return _UNITS.findall(SPACE + text.replace(" ", SPACE)) if "" in parts else [SPACE + w for w in parts]
 
-    def _variants(self, n: int, doc_id: int | None) -> list[int]:
+    def _keys(self, n: int, doc_id: int | None) -> np.ndarray:
+        """Keys of the words of a document by their position."""
         key = np.uint64((0 if doc_id is None else doc_id + 1) % 2**64)
-        return (mix(np.arange(n, dtype=np.uint64) ^ mix(np.array([key]), self.seed)[0], self.seed + 1) % np.uint64(self.variants)).astype(int).tolist()
+        return mix(np.arange(n, dtype=np.uint64) ^ mix(np.array([key]), self.seed)[0], self.seed + 1)
+
+    def _variants(self, n: int, doc_id: int | None) -> list[int]:
+        return (self._keys(n, doc_id) % np.uint64(self.variants)).astype(int).tolist()
 
     def decode(self, ids: bytes) -> str:
         """The text of any ids made by ``encode``."""
@@ -185,12 +269,13 @@ def coder(*key) -> PieceCoder:
     return _CODERS[key]
 
 
-def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 4, check: bool = False) -> DataFrame:
+def encode(docs: DataFrame, model: str, dropout: float = 0.1, seed: int = 1, variants: int = 0, check: bool = False) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of every whole text, with ``text`` beside them.
 
     ``check`` adds ``decoded``, the text that the ids alone give back, in the same pass.
 
     ``dropout`` is the chance that a candidate merge is skipped; with 0 the ids are the model's own. Another ``seed`` cuts anew.
+    Each occurrence of a word is cut by itself; ``variants`` above 0 leaves every word that many cuts.
     Null and empty texts have no ids. Repeated rows get equal ids. Other columns are not read.
     """
 

@@ -1,6 +1,7 @@
 """Token frames, packing and merge-dropout against the libraries, with odd texts, null and repeated rows."""
 
 import io
+import inspect
 import zlib
 from collections import Counter
 
@@ -191,6 +192,23 @@ def test_merge_dropout():
     assert len({drop.encode(["representation understanding " * 9], [d])[0] for d in range(20)}) > 1
 
 
+def test_each_occurrence_has_its_own_agenda():
+    path = P.path("piece_bpe_32k.model")
+    drop = pieces.PieceCoder(path, 0.3, 7, most=60)  # cuts are forgotten and made again
+    texts = ["the representation of understanding aaaaaaa ▁ " * 9, "x" * 70 + " onononon", "", None, "the " * 60]
+    for _ in range(2):
+        got = drop.encode(texts, [5, None, 1, 2, 2**40])
+        for text, doc_id, ids in zip(texts, [5, None, 1, 2, 2**40], got, strict=True):
+            words = drop._words(text) if text else []
+            want = []
+            for w, key in zip(words, drop._keys(len(words), doc_id).tolist(), strict=True):
+                want += np.frombuffer(drop.sign, "<u4").tolist() if w == pieces._SIGN else scalar_merges(drop, w, key, drop.limit)
+            assert np.frombuffer(ids, "<u4").tolist() == want and drop.decode(ids) == (text or "")
+    cuts = set(drop.occurrences(["▁representation"] * 500, drop._keys(500, 3)))
+    assert len(cuts) > 20
+    assert inspect.signature(pieces.encode).parameters["variants"].default == 0
+
+
 def test_coding_in_spark(spark, make):
     path = P.path("piece_bpe_32k.model")
     rows = [*enumerate(TEXTS), (None, "no id"), (1, TEXTS[1]), (1, TEXTS[1])]
