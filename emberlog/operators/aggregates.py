@@ -92,10 +92,17 @@ def _recent_window(df: DataFrame, n: int, k: int, places: int) -> DataFrame:
     )
 
 
-def recent_stats(df: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
-    """Statistics of the newest ``n`` rows plus the table size; no row when the table is empty."""
-    window, total = F.col("window_size"), df.agg(F.count("*").alias("total_in_table"))
-    return _recent_window(df, n, 5, 2).crossJoin(F.broadcast(total)).select(
+def recent_stats(df: DataFrame, n: int = RECENT_ROWS, total: int | None = None) -> DataFrame:
+    """Statistics of the newest ``n`` rows plus the table size; no row when the table is empty.
+
+    With ``total`` known, as from a time index, ``df`` may hold just the newest rows and is read once.
+    """
+    window, stats = F.col("window_size"), _recent_window(df, n, 5, 2)
+    if total is None:
+        stats = stats.crossJoin(F.broadcast(df.agg(F.count("*").alias("total_in_table"))))  # one row
+    else:
+        stats = stats.withColumn("total_in_table", F.lit(total))
+    return stats.select(
         "window_size", "total_in_table",
         *[F.col(f"level_{x.lower()}{s}") for x in LEVELS for s in ("", "_pct")],
         F.round("avg", 2).alias("avg_response_ms"),

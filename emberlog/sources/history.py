@@ -7,15 +7,17 @@ compaction resolves them for good on closed days.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emberlog.operators.dedupe import keep_latest
 from emberlog.schema import HISTORY_SCHEMA
 from emberlog.sources.documents import history_columns
+from emberlog.sources.timeindex import SCHEMA as INDEX_SCHEMA
+from emberlog.sources.timeindex import TimeIndex, minute_counts, newest_matching, since
 
 COMPACTED = -1
 TARGET_FILE_BYTES = 256 * 1024 * 1024
@@ -71,6 +73,47 @@ class History:
         stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "log_date", "batch_id"
         ).parquet(self.path)
+        written = f"{self.path}/log_date=*/batch_id={batch_id}"
+        fs, pattern = self._fs(written)
+        if fs.globStatus(pattern):  # an empty batch has no folder
+            self._count(self.spark.read.schema(_STORED).option("basePath", self.path).parquet(written))
+
+    # --- index ---
+
+    def _count(self, stored: DataFrame) -> None:
+        """Write the rows per minute beside the batches they count, one file for each."""
+        counts = minute_counts(stored, "batch_id").repartition("log_date", "batch_id")
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("log_date", "batch_id").parquet(f"{self.path}/_index")
+
+    def index(self) -> TimeIndex:
+        """Rows per minute of all stored rows, replays included.
+
+        Batches without counts (a writer stopped between the two) are counted now, counts without a batch go.
+        """
+        path, missing = f"{self.path}/_index", []
+        for day in (f"log_date={d.isoformat()}" for d in self.days()):
+            there, counted = set(self._children(f"{self.path}/{day}")), set(self._children(f"{path}/{day}"))
+            missing += [(day[9:], int(b[9:])) for b in sorted(there - counted) if b.startswith("batch_id=")]
+            for stale in counted - there:
+                self._delete(f"{path}/{day}/{stale}")
+        for gone in set(self._children(path)) - {f"log_date={d.isoformat()}" for d in self.days()}:
+            if gone.startswith("log_date="):
+                self._delete(f"{path}/{gone}")
+        if missing:
+            wanted = F.broadcast(self.spark.createDataFrame(missing, "d string, b long"))  # uncounted batches only
+            stored = self.stored()
+            self._count(stored.join(wanted, (F.col("log_date") == F.to_date("d")) & (F.col("batch_id") == F.col("b")), "left_semi"))
+        schema = "minute_us long, n long, log_date date, batch_id long"
+        read = self.spark.read.schema(schema).parquet(path) if self._exists(path) else self.spark.createDataFrame([], INDEX_SCHEMA)
+        return TimeIndex(read.select("log_date", "minute_us", "n"))
+
+    def newest(self, n: int, where: Column | None = None) -> DataFrame:
+        """Records, one row each, that certainly include the ``n`` newest matching ones; reads the days they lie in."""
+        def read(us: int | None) -> DataFrame:
+            start = None if us is None else datetime.fromtimestamp(us // 1_000_000, timezone.utc).date()
+            return since(self.view(start=start), us)
+
+        return newest_matching(read, self.index(), n, where)
 
     # --- read ---
 
@@ -104,6 +147,7 @@ class History:
         report = [(r["log_date"], r["removed_rows"]) for r in counts.collect()]  # one row per expired day
         for d in expired:
             self._delete(f"{self.path}/log_date={d.isoformat()}")
+            self._delete(f"{self.path}/_index/log_date={d.isoformat()}")
         return self.spark.createDataFrame(report, report_schema)
 
     def compact(self, day: date, target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -142,3 +186,5 @@ class History:
         _, source = self._fs(staging)
         fs.mkdirs(target.getParent())
         fs.rename(source, target)
+        # counts of the files that are no more; the next reader of the index counts the new ones
+        self._delete(f"{folder.replace(self.path, self.path + '/_index', 1)}/batch_id={COMPACTED}")
