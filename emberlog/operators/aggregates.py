@@ -6,10 +6,12 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from emberlog.functions.scalar import epoch_bucket_us, instant, percent, settled
 from emberlog.operators.joins import bucket_spine, fill_spine
 from emberlog.operators.ordered import exact_quantiles, melt
+from emberlog.operators.quantiles import exact_percentiles
 from emberlog.operators.search import in_last, newest_first
 from emberlog.schema import LEVELS, MICROS, MODEL_FEATURES, RECENT_ROWS
 
@@ -35,8 +37,13 @@ def level_distribution(df: DataFrame) -> DataFrame:
 
 
 def interpolated_percentile(df: DataFrame, column: str, p: float, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Exact percentile with linear interpolation at ``(n - 1) * p``."""
-    return df.groupBy(*keys).agg(F.percentile(column, p).alias("value"))
+    """Exact percentile with linear interpolation at ``(n - 1) * p``.
+
+    Whole numbers keep a counter per distinct value; real values are bracketed by a sketch, so that no task holds all of a group.
+    """
+    if isinstance(df.schema[column].dataType, IntegralType):
+        return df.groupBy(*keys).agg(F.percentile(column, p).alias("value"))
+    return exact_percentiles(df, column, [p], keys).select(*keys, F.col("q0").alias("value"))
 
 
 def top_services(df: DataFrame, k: int = 5) -> DataFrame:

@@ -40,37 +40,33 @@ class TailModel:
 
         ``seen`` rows are part of the fitted table; any other row is counted into the tails itself, so a value
         beyond the fitted range stays finite, and so does a ``seen`` value that the table lacks. A null feature adds nothing.
-        Row values are merged into the order of the fitted values, distinct ones once; ``df`` needs no row id because the
-        lookup joins on the value.
+        Rows are numbered and stored; their values, with the numbers, are merged into the order of the fitted values once for all
+        features. The number is part of that order, so a value that most rows share is spread over buckets like any other.
         """
-        wanted = melt(df, self.features).distinct().select("feature", "value", F.lit(1).alias("asks"), F.lit(0).alias("n"))
-        known = self.table.select("feature", "value", F.lit(0).alias("asks"), F.col("n"))
-        merged = known.unionByName(wanted)
-        n = F.col("n").cast("bigint")
-        # Fitted values sort before row values of the same size, so the total at a row value counts its equals.
-        upto = running_totals(merged, ("feature", "value", "asks"), {"at_most": n}, ("feature",)).filter("asks = 1")
-        equal = self.table.select("feature", "value", F.col("n").alias("same"))
-        own = F.lit(0 if seen else 1)
+        rows = stage(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
+        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in self.features])
+        zero = F.lit(0).cast("bigint")
+        asks = rows.select(F.col("__rid").alias("rid"), F.inline(pairs)).filter(F.col("value").isNotNull())
+        asks = asks.select("feature", "value", F.lit(1).alias("turn"), "rid", zero.alias("upto"), zero.alias("less"))
+        # A fitted value counts as reached before the rows that equal it, and as passed after them.
+        turns = F.array(*[F.struct(F.lit(t).alias("turn"), u.alias("upto"), v.alias("less")) for t, u, v in ((0, F.col("n"), zero), (2, zero, F.col("n")))])
+        known = self.table.select("feature", "value", F.lit(-1).cast("bigint").alias("rid"), F.inline(turns)).select(*asks.columns)
+        totals = {"at_most": F.col("upto"), "below": F.col("less")}
+        merged = running_totals(known.unionByName(asks), ("feature", "value", "turn", "rid"), totals, ("feature",)).filter("turn = 1")
+        own, total = F.lit(0 if seen else 1), F.lit(self.total)
         skew = F.create_map(*[F.lit(x) for f in self.features for x in (f, self.skew[f])])[F.col("feature")]
-        total = F.lit(self.total)
-        at_least = total - F.col("at_most") + F.coalesce("same", F.lit(0))
-        rated = upto.select("feature", "value", "at_most").join(equal, ["feature", "value"], "left").select(
-            "feature", "value",
-            self._combine(
-                -F.log(F.greatest(F.col("at_most") + own, F.lit(1)) / (total + own)),
-                -F.log(F.greatest(at_least + own, F.lit(1)) / (total + own)), skew,
-            ).alias("rarity"),
+        rarity = self._combine(
+            -F.log(F.greatest(F.col("at_most") + own, F.lit(1)) / (total + own)),
+            -F.log(F.greatest(total - F.col("below") + own, F.lit(1)) / (total + own)), skew,
         )
-        rated = stage(rated, "rarity")
-        out, sum_ = df, F.lit(0.0)
-        for i, f in enumerate(self.features):
-            part = rated.filter(F.col("feature") == f).select(
-                F.col("value").alias(f"__v{i}"), F.col("rarity").alias(f"__r{i}")
-            )
-            out = out.join(part, F.col(f).cast("double") == F.col(f"__v{i}"), "left")
-            sum_ = sum_ + F.coalesce(F.col(f"__r{i}"), F.lit(0.0))
-        count = len(self.features)
-        return out.withColumn(name, sum_).drop(*[f"__{c}{i}" for i in range(count) for c in "vr"])
+        # one value a feature, added in the order of the features, so that equal rows score equally
+        merged = merged.select("rid", "feature", rarity.alias("rarity"))
+        parts = merged.groupBy("rid").agg(*[F.max(F.when(F.col("feature") == f, F.col("rarity"))).alias(f"r{i}") for i, f in enumerate(self.features)])
+        sum_ = F.lit(0.0)
+        for i in range(len(self.features)):
+            sum_ = sum_ + F.coalesce(f"r{i}", F.lit(0.0))
+        scored = parts.select("rid", sum_.alias(name))
+        return rows.join(scored, F.col("__rid") == F.col("rid"), "left").withColumn(name, F.coalesce(name, F.lit(0.0))).drop("__rid", "rid")
 
     def decide(self, df: DataFrame) -> DataFrame:
         if self.offset is None:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.joins import Incident, exclude_incidents
 from emberlog.operators.models.forest import Forest
-from emberlog.operators.ordered import exact_quantiles, melt
+from emberlog.operators.ordered import melt
+from emberlog.operators.quantiles import exact_percentiles
 from emberlog.schema import CONTAMINATION_SWEEP, LEVELS
 
 # Incident spans in seconds from the start of the data set; the last one is a test case only.
@@ -87,7 +88,7 @@ def contamination_sweep(
     train: DataFrame, test: DataFrame, score: str, actual: Column, shares: Sequence[float] = CONTAMINATION_SWEEP
 ) -> DataFrame:
     """Metrics at several contamination shares. Scores do not depend on the share, so each row is scored once."""
-    row = exact_quantiles(melt(train, [score]), [1 - c for c in shares]).first()
+    row = exact_percentiles(train, score, [1 - c for c in shares]).first()
     cuts = F.array(*[
         F.struct(F.lit(c).alias("contamination"), F.lit(row[f"q{i}"]).alias("cut")) for i, c in enumerate(shares)
     ])

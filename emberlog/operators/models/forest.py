@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.operators.ordered import column_quantiles, ranked
+from emberlog.operators.quantiles import exact_percentiles
 from emberlog.schema import CONTAMINATION, MODEL_FEATURES
 
 EULER_GAMMA = 0.5772156649015329
@@ -26,6 +27,14 @@ def average_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, grown, np.where(n == 2, 1.0, 0.0))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A uniform hash of unsigned 64-bit values (two rounds of multiplying and folding)."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(32))
+
+
 def _grow(points: np.ndarray, tree: int, seed: int, max_depth: int) -> pd.DataFrame:
     """One tree over at most a sample of rows, as a node table."""
     rng = np.random.default_rng([seed, tree])
@@ -117,33 +126,62 @@ def fit_forest(
 ) -> Forest:
     """Fit on all rows of ``df``: each tree sees its own sample without replacement.
 
-    The sample is drawn as positions (trees x sample size integers) and looked up in one pass over the data;
-    a tree grows from its 256 rows, so groups have a fixed size.
+    Each row gets a keyed hash for each tree, and the least hashes make the sample: one scan without ranks, from which only about
+    1.5 samples a tree are shuffled. The sample depends on the rows and the seed, not on partitions or order; rows that agree in
+    ``order`` and all features share their hashes. A tree grows from its 256 rows, so groups have a fixed size.
     """
-    numbered = ranked(df.select(*order, *features), order, "position")
+    columns = list(features)
     rows = df.count()
     if rows == 0:
         raise ValueError("no rows to fit on")
     size = min(sample_size, rows)
-    rng = np.random.default_rng(seed)
-    drawn = pd.concat(
-        [pd.DataFrame({"position": rng.choice(rows, size, replace=False) + 1, "tree": t}) for t in range(trees)]
-    ).astype("int64")
-    picks = df.sparkSession.createDataFrame(drawn, "position long, tree long")
-    limit, columns = max(1, math.ceil(math.log2(max(size, 2)))), list(features)
+    limit = max(1, math.ceil(math.log2(max(size, 2))))
+    # A tree's sample is its rows of the ``size`` least keys. Keys are uniform, so they lie below this bound with a margin that
+    # fails once in 10^9 trees; a tree that gets too few is drawn again from all rows.
+    bound = min(1.0, (size + 6.5 * math.sqrt(size) + 20) / rows)
+
+    def draw(limit_key: float, wanted: Sequence[int]) -> DataFrame:
+        keep = np.array(wanted, np.uint64)
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own = batch.column(0).to_numpy().astype(np.uint64)
+                for a in range(0, len(keep), 16):
+                    keys = _mixed(own[None] ^ _mixed(keep[a : a + 16] + np.uint64((seed + 1) << 20))[:, None])
+                    t, r = np.nonzero(keys < np.uint64(min(limit_key * 2.0**64, 2.0**64 - 2048)) if limit_key < 1 else np.ones(keys.shape, bool))
+                    if len(t):
+                        picked = batch.take(pa.array(r))
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(keep[a : a + 16][t].astype(np.int64)), pa.array((keys[t, r] >> np.uint64(1)).astype(np.int64)), *picked.columns],
+                            names=["tree", "key", *batch.schema.names],
+                        )
+
+        identity = F.xxhash64(*order, *features).alias("own")
+        narrow = df.select(identity, *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], *[F.col(f).cast("double").alias(f) for f in features])
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields)
+        return narrow.mapInArrow(pick, f"tree long, key long, {ddl}")
+
+    places = ["key", *[f"o{i}" for i in range(len(order))]]
 
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
-        sample = sample.sort_values("position")
-        return _grow(sample[columns].to_numpy(np.float64), int(sample["tree"].iloc[0]), seed, limit)
-
-    sampled = numbered.join(F.broadcast(picks), "position").select("tree", "position", *features)
-    nodes = sampled.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        sample = sample.sort_values([*places, *columns], kind="stable").head(size)
+        grown = _grow(sample[columns].to_numpy(np.float64), int(sample["tree"].iloc[0]), seed, limit)
+        return grown if len(sample) == size else grown.head(0)
+
+    def nodes_of(limit_key: float, wanted: Sequence[int]) -> pd.DataFrame:
+        # a group holds the margin's rows at most; only its ``size`` least stay
+        return draw(limit_key, wanted).groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+
+    nodes = nodes_of(bound, range(trees))
+    while short := [t for t in range(trees) if t not in set(nodes["tree"])]:
+        bound = min(1.0, 4 * bound)
+        nodes = pd.concat([nodes, nodes_of(bound, short)])
     return Forest(tuple(features), nodes.sort_values(["tree", "node"]).reset_index(drop=True), size)
 
 
 def contamination_offset(scored: DataFrame, column: str, contamination: float = CONTAMINATION) -> float:
     """The exact score quantile above which the given share of the training rows lies."""
-    return column_quantiles(scored, column, [1 - contamination])[0]
+    return exact_percentiles(scored, column, [1 - contamination]).first()["q0"]
 
 
 def fit_decision(forest: Forest, train: DataFrame, contamination: float = CONTAMINATION) -> Forest:

@@ -2,22 +2,24 @@
 
 Whether a row passes depends on the rows that passed before it, so a plain window cannot express it and one
 ordered scan per key would put a hot key into one task. Instead every (key, bucket of the time order) works out
-on its own where the chain would leave the bucket for each place it can enter it. The chain can enter only at
-the rows of the first period of the bucket (or the first row after), so the step that follows a key through
-its buckets sees those few rows only; afterwards all buckets emit their rows independently.
+on its own where the chain would leave the bucket for each place it can enter it: only at the rows of the first
+period of the bucket, or the first row after. These jumps are composed by doubling, so the buckets that a chain
+enters are known after as many rounds as their number has binary digits. The rounds are joins on (key, place): even where
+traffic is so dense that every row of a key is such a place, no task gets more than its share. Afterwards all
+buckets emit their rows independently.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlog.operators.ordered import split_order
+from emberlog.operators.ordered import running_totals, split_order
 from emberlog.session import stage
 
 _NEVER = np.iinfo(np.int64).min // 4
@@ -44,6 +46,47 @@ def _passing(us: np.ndarray, period: int, last: int) -> list[int]:
     return picked
 
 
+def _named(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({k: f"__s_{k}" for k in keys})
+
+
+def _same(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).eqNullSafe(F.col(f"__s_{k}")) for k in keys]
+
+
+def _starts(steps: DataFrame, keys: list[str], period: int) -> DataFrame:
+    """Where each chain enters each of its buckets, ``(*keys, bucket, last_us)``: the first row a period after ``last_us`` passes there.
+
+    ``steps`` holds entries and exits by bucket; an entry in bucket -1 stands for rows that passed before. The entry that follows an
+    exit is found by its rank: the entries of the key before ``exit + period``, counted for all by one running total.
+    """
+    steps = stage(steps, "steps")
+    point = [*keys, "bucket", "entry"]
+    is_row = F.lit(1).cast("long")
+    rows = steps.select(*point, F.col("entry").alias("at"), is_row.alias("kind"))
+    asks = steps.select(*point, (F.col("exit") + F.lit(period)).alias("at"), (is_row - 1).alias("kind"))
+    counted = stage(running_totals(stage(rows.unionByName(asks), "events"), ("at", "kind"), {"place": F.col("kind")}, keys), "places")
+    place = counted.filter("kind = 1").drop("at", "kind")
+    follows = counted.filter("kind = 0").select(*point, (F.col("place") + 1).alias("next"))
+    placed = stage(place.join(_named(follows, point), _same(point)).drop(*[f"__s_{c}" for c in point]), "places")
+
+    # The first place of a key begins its chain; jump leads 2^k places of the chain on, as far as there are places.
+    spot = [*keys, "place"]
+    reached = placed.filter("place = 1").select(*spot)
+    beyond = placed.select(*spot).withColumnRenamed("place", "next")
+    jump = stage(placed.select(*spot, "next").join(_named(beyond, [*keys, "next"]), _same([*keys, "next"]), "left_semi"), "jump")
+    while True:
+        further = stage(reached.join(_named(jump, spot), _same(spot)).select(*keys, F.col("next").alias("place")), "further")
+        if further.isEmpty():
+            break
+        reached = reached.unionByName(further)
+        on = _named(jump.withColumnRenamed("next", "beyond"), spot)
+        jump = jump.withColumnsRenamed({"place": "from", "next": "place"}).join(on, _same(spot)).select(*keys, F.col("from").alias("place"), F.col("beyond").alias("next"))
+        jump = stage(jump, "jump")
+    entered = placed.join(_named(reached, spot), _same(spot), "left_semi").filter("bucket >= 0")
+    return entered.select(*keys, "bucket", (F.col("entry") - F.lit(period)).alias("last_us"))
+
+
 def throttle(
     df: DataFrame,
     keys: Sequence[str],
@@ -88,43 +131,10 @@ def throttle(
             )
         )
 
-    start_schema = T.StructType(
-        [*key_fields, T.StructField("bucket", T.IntegerType()), T.StructField("last_us", T.LongType())]
-    )
-
-    def follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, bucket, last, entered = None, None, int(_NEVER), False
-        for batch in batches:
-            if batch.empty:
-                continue
-            starts = []
-            change = np.zeros(len(batch), dtype=bool)
-            change[0] = True
-            for c in (*keys, "bucket"):
-                col = batch[c].to_numpy()
-                change[1:] |= col[1:] != col[:-1]
-            cuts = [*np.flatnonzero(change), len(batch)]
-            entry, leave = batch["entry"].to_numpy(np.int64), batch["exit"].to_numpy(np.int64)
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                here = tuple(batch[k].iloc[a] for k in keys)
-                number = int(batch["bucket"].iloc[a])
-                if here != key:
-                    key, bucket, last = here, None, int(_NEVER)
-                if number != bucket:
-                    bucket, entered = number, False
-                    starts.append((*here, number, last))
-                if entered:
-                    continue
-                at = a + int(np.searchsorted(entry[a:b], last + period_us, side="left"))
-                if at < b:
-                    last, entered = int(leave[at]), True
-            yield pd.DataFrame(starts, columns=[*keys, "bucket", "last_us"])
-
-    starts = (
-        steps.repartition(*[F.col(k) for k in keys])
-        .sortWithinPartitions(*keys, "bucket", "entry")
-        .mapInPandas(follow, start_schema)
-    )
+    if splits.buckets == 1 and carried is None:
+        starts = tagged.select(*keys, "bucket").distinct().withColumn("last_us", F.lit(int(_NEVER)))  # nothing to compose
+    else:
+        starts = _starts(steps, keys, period_us)
 
     pass_schema = T.StructType(
         [*key_fields, T.StructField("us", T.LongType()), T.StructField("tie", df.schema[tie].dataType)]
@@ -136,10 +146,7 @@ def throttle(
         return block.iloc[rows][[*keys, "us", "tie"]]
 
     passed = (
-        tagged.join(
-            starts.select(*[F.col(c).alias(f"__s_{c}") for c in (*keys, "bucket")], "last_us"),
-            [F.col(c).eqNullSafe(F.col(f"__s_{c}")) for c in (*keys, "bucket")],
-        )
+        tagged.join(_named(starts.select(*keys, "bucket", "last_us"), (*keys, "bucket")), _same((*keys, "bucket")))
         .groupBy(*keys, "bucket")
         .applyInPandas(emit, pass_schema)
         .select(*[F.col(k).alias(f"__p_{k}") for k in keys], F.col("us").alias("__p_us"), F.col("tie").alias("__p_tie"))

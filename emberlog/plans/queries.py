@@ -685,3 +685,17 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return A.notices(logs(spark, sf_dir))
+
+
+@query("W3_alerts_split", ENTRIES["W3_alerts"].columns, ENTRIES["W3_alerts"].sql)
+def _(spark, sf_dir):
+    out = A.build_alerts(A.fire_alerts(logs(spark, sf_dir), rows_per_bucket=FEW))
+    return out.select(
+        "*", F.col("sample_log.service_name").alias("service_name"), F.col("sample_log.anomaly_score").alias("sample_score"),
+        F.col("sample_log.message").alias("sample_message"),
+    )
+
+
+@query("W5_notices_split", ENTRIES["W5_notices"].columns, ENTRIES["W5_notices"].sql)
+def _(spark, sf_dir):
+    return A.notices(logs(spark, sf_dir), rows_per_bucket=FEW)

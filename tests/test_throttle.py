@@ -64,3 +64,28 @@ def test_null_keys_are_keys(spark):
                 want.add(seq)
                 last = us
     assert got == want
+
+
+@pytest.mark.parametrize("apart,period,per_bucket", [(10, 30_000_000, 500), (10, 13_000, 500), (10, 700, 100), (1000, 3500, 64)])
+def test_dense_traffic_of_one_key(spark, apart, period, per_bucket):
+    """Rows far closer than the period: every row of a bucket is a place where the chain may enter it."""
+    rng = np.random.default_rng(apart + period)
+    us = np.sort(rng.integers(0, 5000 * apart, 5000))
+    pdf = pd.DataFrame({"us": us, "seq": np.arange(len(us)), "key": "one"})
+    got = throttle(spark.createDataFrame(pdf), ["key"], "us", "seq", period, rows_per_bucket=per_bucket)
+    assert sorted(r.seq for r in got.collect()) == sorted(scan(pdf, period)[0])
+
+
+def test_no_exchange_is_dealt_by_the_key_alone(spark, monkeypatch):
+    """Places of a hot key are joined by (key, place), so that none of the steps brings them into one task."""
+    import emberlog.operators.throttle as T
+
+    plans, keep = [], T.stage
+    monkeypatch.setattr(T, "stage", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), keep(df, name))[1])
+    pdf = pd.DataFrame({"us": np.arange(4000) * 10, "seq": np.arange(4000), "key": "one"})
+    out = T.throttle(spark.createDataFrame(pdf), ["key"], "us", "seq", 9000, rows_per_bucket=200)
+    out.collect()
+    dealt = [x.split("),")[0] for p in plans for x in p.split("hashpartitioning(")[1:]]
+    by_key = [d for d in dealt if "," not in d.rsplit(", ", 1)[0]]
+    # only the totals of the buckets, one row each, meet by key
+    assert len(plans) > 5 and len(dealt) > 5 and len(by_key) <= 1
