@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -48,13 +49,18 @@ def interpolated_percentile(df: DataFrame, column: str, p: float, keys: tuple[st
 
 def top_services(df: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` busiest services with their share of all rows."""
-    counts = df.groupBy(F.coalesce("service_name", F.lit("unknown")).alias("service")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total"))
-    # One row.
-    return (
-        counts.orderBy(F.desc("n"), "service").limit(k).crossJoin(F.broadcast(total))
-        .select("service", "n", percent(F.col("n"), F.col("total")).alias("pct")).orderBy(F.desc("n"), "service")
+    counts = df.select(F.coalesce("service_name", F.lit("unknown")).alias("service")).rollup("service").agg(
+        F.count("*").alias("n"), F.grouping("service").alias("whole")
     )
+    top = _with_whole(counts, [F.desc("n"), F.asc("service")], k, "n")
+    return top.select("service", "n", percent(F.col("n"), F.col("whole.n")).alias("pct")).orderBy(F.desc("n"), "service")
+
+
+def _with_whole(rolled: DataFrame, order: list[Column], k: int, *columns: str) -> DataFrame:
+    """The first ``k`` groups of a rollup (``whole`` marks the row of all), with ``columns`` of the row of all as a struct ``whole``."""
+    top = rolled.orderBy(F.desc("whole"), *order).limit(k + 1)
+    everything = F.max(F.when(F.col("whole") == 1, F.struct(*columns))).over(Window.partitionBy(F.lit(0)))  # k + 1 rows
+    return top.withColumn("__all", everything).filter("whole = 0").drop("whole").withColumnRenamed("__all", "whole")
 
 
 def _top_of(services: Column, total: Column, k: int, places: int) -> Column:
@@ -141,16 +147,21 @@ def rolling_summary(df: DataFrame, n: int = RECENT_ROWS) -> DataFrame:
 
 def service_levels(df: DataFrame, k: int = 20) -> DataFrame:
     """Per service: volume, average latency, errors and level counts; the ``k`` busiest."""
-    total = F.col("total")
-    grouped = df.groupBy(F.col("service_name").alias("service")).agg(
+    grouped = df.groupBy(F.col("service_name").alias("service")).agg(*_service_counts())
+    return _rated(grouped).orderBy(F.desc("total"), "service").limit(k)
+
+
+def _service_counts() -> list[Column]:
+    return [
         F.count("*").alias("total"),
         F.round(F.coalesce(F.avg("response_time_ms"), F.lit(0.0)), 1).alias("avg_response_ms"),
         F.count_if("is_error").alias("error_count"),
         *[F.count_if(F.col("log_level") == x).alias(f"level_{x.lower()}") for x in LEVELS],
-    )
-    return grouped.withColumn("error_rate_pct", percent(F.col("error_count"), total)).orderBy(
-        F.desc("total"), "service"
-    ).limit(k)
+    ]
+
+
+def _rated(df: DataFrame) -> DataFrame:
+    return df.withColumn("error_rate_pct", percent(F.col("error_count"), F.col("total")))
 
 
 def timeline(df: DataFrame, hours: int = 1, as_of: AsOf = None, width_s: int = 300) -> DataFrame:
@@ -184,33 +195,39 @@ def timeline_buckets(df: DataFrame, width_s: int = 300) -> DataFrame:
 
 def latency_profile(df: DataFrame, service: str | None = None, approximate: bool = False) -> DataFrame:
     """Percentiles and moments of the latency. ``approximate`` keeps a sketch instead of all distinct values."""
-    rt = F.col("response_time_ms")
     rows = df.filter(F.col("service_name") == service) if service else df
-    points = (0.5, 0.95, 0.99)
+    out = rows.agg(*_latency_parts(approximate))
+    return out.select(*_latency_columns(F.col))
+
+
+def _latency_parts(approximate: bool = False) -> list[Column]:
+    rt, points = F.col("response_time_ms"), (0.5, 0.95, 0.99)
     quantiles = F.percentile_approx(rt, list(points), 10_000) if approximate else F.percentile(rt, F.array(*map(F.lit, points)))
+    return [
+        F.count("*").alias("total_docs"), quantiles.alias("q"), F.min(rt).alias("lo"), F.max(rt).alias("hi"), F.avg(rt).alias("mean"), F.stddev_pop(rt).alias("std"),
+    ]
 
-    def one(c: Column) -> Column:
-        return settled(F.coalesce(c.cast("double"), F.lit(0.0)), 1)
 
-    out = rows.agg(
-        F.count("*").alias("total_docs"), quantiles.alias("q"), F.min(rt).alias("lo"), F.max(rt).alias("hi"),
-        F.avg(rt).alias("mean"), F.stddev_pop(rt).alias("std"),
-    )
-    q = F.col("q")
-    return out.select(
-        "total_docs", one(q[0]).alias("p50_ms"), one(q[1]).alias("p95_ms"), one(q[2]).alias("p99_ms"),
-        one(F.col("lo")).alias("min_ms"), one(F.col("hi")).alias("max_ms"),
-        one(F.col("mean")).alias("avg_ms"), one(F.col("std")).alias("stddev_ms"),
-    )
+def _latency_columns(part: Callable[[str], Column]) -> list[Column]:
+    def one(c: Column, name: str) -> Column:
+        return settled(F.coalesce(c.cast("double"), F.lit(0.0)), 1).alias(name)
+
+    names = {"lo": "min_ms", "hi": "max_ms", "mean": "avg_ms", "std": "stddev_ms"}
+    percentiles = [one(F.get(part("q"), i), f"{p}_ms") for i, p in enumerate(("p50", "p95", "p99"))]
+    return [part("total_docs").alias("total_docs"), *percentiles, *[one(part(c), n) for c, n in names.items()]]
 
 
 def service_report(df: DataFrame, hours: int = 1, as_of: AsOf = None) -> DataFrame:
     """Per-service statistics of the last hours beside the global latency profile."""
     if not 1 <= hours <= 24:
         raise ValueError("hours must be 1..24")
-    rows = in_last(df, as_of, hours=hours).select("service_name", "log_level", "response_time_ms", "is_error")
-    # One row.
-    return service_levels(rows).crossJoin(F.broadcast(latency_profile(rows))).orderBy(F.desc("total"), "service")
+    rows = in_last(df, as_of, hours=hours).select(F.col("service_name").alias("service"), "log_level", "response_time_ms", "is_error")
+    # Services and the whole are two grouping sets of one scan.
+    rolled = rows.rollup("service").agg(*_service_counts(), *_latency_parts(), F.grouping("service").alias("whole"))
+    parts = ("total_docs", "q", "lo", "hi", "mean", "std")
+    top = _rated(_with_whole(rolled, [F.desc("total"), F.asc("service")], 20, *parts).drop(*parts))
+    levels = [c for c in top.columns if c != "whole"]
+    return top.select(*levels, *_latency_columns(lambda c: F.col("whole")[c])).orderBy(F.desc("total"), "service")
 
 
 def anomalies_by_service(df: DataFrame, as_of: AsOf = None, minutes: int = 30, k: int = 10) -> DataFrame:
@@ -220,17 +237,14 @@ def anomalies_by_service(df: DataFrame, as_of: AsOf = None, minutes: int = 30, k
         "timestamp", "log_level", "endpoint", F.col("response_time_ms").alias("response_ms"),
         F.round("anomaly_score", 4).alias("score"), F.substring("message", 1, 80).alias("message"),
     )
-    grouped = recent.groupBy(F.col("service_name").alias("service")).agg(
+    rolled = recent.withColumn("service", F.col("service_name")).rollup("service").agg(
         F.count("*").alias("anomaly_count"),
         F.round(F.avg("anomaly_score"), 4).alias("avg_anomaly_score"),
         F.max_by(worst, F.struct("anomaly_score", "timestamp", "request_id")).alias("worst_log"),
+        F.grouping("service").alias("whole"),
     )
-    total = recent.agg(F.count("*").alias("total_anomalies"))
-    return (
-        grouped.orderBy(F.desc("anomaly_count"), "service").limit(k).crossJoin(F.broadcast(total))
-        .withColumn("pct_of_total", percent(F.col("anomaly_count"), F.col("total_anomalies"), 1))
-        .orderBy(F.desc("anomaly_count"), "service")
-    )
+    top = _with_whole(rolled, [F.desc("anomaly_count"), F.asc("service")], k, "anomaly_count").withColumn("total_anomalies", F.col("whole.anomaly_count")).drop("whole")
+    return top.withColumn("pct_of_total", percent(F.col("anomaly_count"), F.col("total_anomalies"), 1)).orderBy(F.desc("anomaly_count"), "service")
 
 
 def anomaly_buckets(df: DataFrame, as_of: AsOf = None, hours: int = 1, width_s: int = 600) -> DataFrame:
@@ -248,27 +262,35 @@ def anomaly_buckets(df: DataFrame, as_of: AsOf = None, hours: int = 1, width_s:
 
 def anomaly_stats(df: DataFrame, as_of: AsOf = None, hours: int = 1) -> DataFrame:
     """One row: anomalies, their rate, bucket counts, the peak bucket (earliest on a tie) and the top services."""
-    rows = in_last(df, as_of, hours=hours)
-    totals = rows.agg(
-        F.count("*").alias("total_logs"), F.count_if("is_anomaly").alias("total_anomalies")
-    ).withColumn("anomaly_rate_pct", percent(F.col("total_anomalies"), F.col("total_logs")))
-    # At most 24 hours of ten-minute buckets.
-    buckets = anomaly_buckets(df, as_of, hours).agg(
-        F.array_sort(F.collect_list(F.struct("bucket_us", "time", "n"))).alias("b"),
-        F.max_by(F.struct("time", "n"), F.struct("n", -F.col("bucket_us"))).alias("peak"),
+    width_s, end = 600, F.unix_micros(instant(as_of))
+    bucket = epoch_bucket_us(F.unix_micros("timestamp"), width_s)
+    rows = in_last(df, as_of, hours=hours).select(F.col("service_name").alias("service"), bucket.alias("bucket_us"), "is_anomaly")
+    # Totals, buckets and services are three grouping sets of one scan; what follows works on one row for each group.
+    sets = rows.groupingSets([[F.col("bucket_us")], [F.col("service")], []], F.col("bucket_us"), F.col("service")).agg(
+        F.count("*").alias("rows"), F.count_if("is_anomaly").alias("n"), F.grouping("bucket_us").alias("gb"), F.grouping("service").alias("gs")
     )
-    top = (
-        rows.filter("is_anomaly").groupBy(F.col("service_name").alias("service")).agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "service").limit(5)
-        .agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "service"))).alias("s"))
+    # Services with the most anomalies combine per task before they meet; buckets are bounded by the hours.
+    kept = sets.filter((F.col("gs") == 1) | (F.col("n") > 0))
+    services = Window.partitionBy("gs").orderBy(F.desc("n"), "service")
+    kept = kept.withColumn("r", F.row_number().over(services)).filter((F.col("gs") == 1) | (F.col("r") <= 5))
+    of = lambda keep, value: F.collect_list(F.when(keep, value))
+    one = kept.agg(
+        F.sum(F.when((F.col("gb") == 1) & (F.col("gs") == 1), F.col("rows"))).alias("logs"), F.sum(F.when((F.col("gb") == 1) & (F.col("gs") == 1), F.col("n"))).alias("anomalies"),
+        of((F.col("gb") == 0), F.struct("bucket_us", "n")).alias("found"), of(F.col("gs") == 0, F.struct((-F.col("n")).alias("neg"), "service")).alias("s"),
     )
-    return totals.crossJoin(F.broadcast(buckets)).crossJoin(F.broadcast(top)).select(
-        "total_logs", "total_anomalies", "anomaly_rate_pct",
-        F.col("peak.time").alias("peak_bucket"), F.col("peak.n").alias("peak_count"),
+    low, high = end - F.lit(hours * 3600 * MICROS), end
+    step = F.lit(width_s * MICROS)
+    spine = F.sequence(low - F.pmod(low, step), high - F.pmod(high, step), step)
+    counts = F.map_from_entries("found")
+    by_bucket = F.transform(spine, lambda t: F.struct(
+        t.alias("bucket_us"), F.date_format(F.timestamp_micros(t), "HH:mm").alias("time"), F.coalesce(F.try_element_at(counts, t), F.lit(0).cast("long")).alias("n")))
+    one = one.select("*", by_bucket.alias("b"), F.coalesce("logs", F.lit(0)).alias("total_logs"), F.coalesce("anomalies", F.lit(0)).alias("total_anomalies"))
+    peak = F.get(F.array_sort(F.transform("b", lambda x: F.struct((-x["n"]).alias("neg"), x["bucket_us"].alias("at"), x["time"].alias("time")))), 0)
+    return one.select(
+        "total_logs", "total_anomalies", percent(F.col("total_anomalies"), F.col("total_logs")).alias("anomaly_rate_pct"),
+        peak["time"].alias("peak_bucket"), (-peak["neg"]).alias("peak_count"),
         F.transform("b", lambda x: F.struct(x["time"].alias("time"), x["n"].alias("count"))).alias("by_bucket"),
-        F.transform(
-            "s", lambda x: F.struct(x["service"].alias("service"), (-x["neg"]).alias("anomaly_count"))
-        ).alias("top_services"),
+        F.transform(F.array_sort("s"), lambda x: F.struct(x["service"].alias("service"), (-x["neg"]).alias("anomaly_count"))).alias("top_services"),
     )
 
 

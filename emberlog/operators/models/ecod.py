@@ -43,25 +43,43 @@ class TailModel:
         Rows are numbered and stored; their values, with the numbers, are merged into the order of the fitted values once for all
         features. The number is part of that order, so a value that most rows share is spread over buckets like any other.
         """
-        rows = stage(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
-        pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in self.features])
+        rows, asks = self._numbered(df)
         zero = F.lit(0).cast("bigint")
-        asks = rows.select(F.col("__rid").alias("rid"), F.inline(pairs)).filter(F.col("value").isNotNull())
-        asks = asks.select("feature", "value", F.lit(1).alias("turn"), "rid", zero.alias("upto"), zero.alias("less"))
+        asks = asks.select("number", "value", F.lit(1).alias("turn"), "rid", zero.alias("upto"), zero.alias("less"))
         # A fitted value counts as reached before the rows that equal it, and as passed after them.
         turns = F.array(*[F.struct(F.lit(t).alias("turn"), u.alias("upto"), v.alias("less")) for t, u, v in ((0, F.col("n"), zero), (2, zero, F.col("n")))])
-        known = self.table.select("feature", "value", F.lit(-1).cast("bigint").alias("rid"), F.inline(turns)).select(*asks.columns)
+        known = self.table.select(self._number().alias("number"), "value", F.lit(-1).cast("bigint").alias("rid"), F.inline(turns)).select(*asks.columns)
         totals = {"at_most": F.col("upto"), "below": F.col("less")}
-        merged = running_totals(known.unionByName(asks), ("feature", "value", "turn", "rid"), totals, ("feature",)).filter("turn = 1")
-        own, total = F.lit(0 if seen else 1), F.lit(self.total)
-        skew = F.create_map(*[F.lit(x) for f in self.features for x in (f, self.skew[f])])[F.col("feature")]
-        rarity = self._combine(
-            -F.log(F.greatest(F.col("at_most") + own, F.lit(1)) / (total + own)),
-            -F.log(F.greatest(total - F.col("below") + own, F.lit(1)) / (total + own)), skew,
-        )
+        merged = running_totals(known.unionByName(asks), ("number", "value", "turn", "rid"), totals, ("number",)).filter("turn = 1")
+        rarity = self._rarity(F.col("at_most"), F.lit(self.total) - F.col("below"), 0 if seen else 1)
+        return self._summed(rows, merged.select("rid", "number", rarity.alias("rarity")), name)
+
+    def score_fitted(self, df: DataFrame, name: str = "raw_score") -> DataFrame:
+        """``score(df, seen=True)`` for the very rows the table was fitted on: each value has a row in it, so one join finds them all."""
+        rows, asks = self._numbered(df)
+        at_least = F.lit(self.total) - F.col("at_most") + F.col("n")
+        table = self.table.select(self._number().alias("number"), "value", "at_most", at_least.alias("at_least"))
+        rated = table.select(F.col("number").alias("__n"), F.col("value").alias("__v"), self._rarity(F.col("at_most"), F.col("at_least"), 0).alias("rarity"))
+        found = asks.join(rated, (F.col("number") == F.col("__n")) & (F.col("value") == F.col("__v"))).select("rid", "number", "rarity")
+        return self._summed(rows, found, name)
+
+    def _number(self) -> Column:
+        return F.create_map(*[F.lit(x) for i, f in enumerate(self.features) for x in (f, i)])[F.col("feature")]
+
+    def _numbered(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows with a stored number, and their values by feature: ``rid, number, value``."""
+        rows = stage(df.withColumn("__rid", F.monotonically_increasing_id()), "rows")
+        pairs = F.array(*[F.struct(F.lit(i).alias("number"), F.col(f).cast("double").alias("value")) for i, f in enumerate(self.features)])
+        return rows, rows.select(F.col("__rid").alias("rid"), F.inline(pairs)).filter(F.col("value").isNotNull())
+
+    def _rarity(self, at_most: Column, at_least: Column, own: int) -> Column:
+        skew = F.create_map(*[F.lit(x) for i, f in enumerate(self.features) for x in (i, self.skew[f])])[F.col("number")]
+        total = F.lit(self.total) + own
+        return self._combine(-F.log(F.greatest(at_most + own, F.lit(1)) / total), -F.log(F.greatest(at_least + own, F.lit(1)) / total), skew)
+
+    def _summed(self, rows: DataFrame, rated: DataFrame, name: str) -> DataFrame:
         # one value a feature, added in the order of the features, so that equal rows score equally
-        merged = merged.select("rid", "feature", rarity.alias("rarity"))
-        parts = merged.groupBy("rid").agg(*[F.max(F.when(F.col("feature") == f, F.col("rarity"))).alias(f"r{i}") for i, f in enumerate(self.features)])
+        parts = rated.groupBy("rid").agg(*[F.max(F.when(F.col("number") == i, F.col("rarity"))).alias(f"r{i}") for i in range(len(self.features))])
         sum_ = F.lit(0.0)
         for i in range(len(self.features)):
             sum_ = sum_ + F.coalesce(f"r{i}", F.lit(0.0))
@@ -82,5 +100,5 @@ def fit_ecod(
 ) -> TailModel:
     table = stage(distribution(melt(df, features)), "tails")
     model = TailModel(tuple(features), table, df.count(), skew_signs(df, features))
-    offset = contamination_offset(model.score(df, seen=True), "raw_score", contamination)
+    offset = contamination_offset(model.score_fitted(df), "raw_score", contamination)
     return TailModel(model.features, table, model.total, model.skew, offset)

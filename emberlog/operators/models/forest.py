@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emberlog.operators.quantiles import exact_percentiles
 from emberlog.schema import CONTAMINATION, MODEL_FEATURES
+from emberlog.session import stage
 
 EULER_GAMMA = 0.5772156649015329
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
@@ -181,7 +182,8 @@ def fit_forest(
 
 def contamination_offset(scored: DataFrame, column: str, contamination: float = CONTAMINATION) -> float:
     """The exact score quantile above which the given share of the training rows lies."""
-    return exact_percentiles(scored, column, [1 - contamination]).first()["q0"]
+    # Scores are computed once; counting and ordering read the stored column.
+    return exact_percentiles(stage(scored.select(column), "scores"), column, [1 - contamination]).first()["q0"]
 
 
 def fit_decision(forest: Forest, train: DataFrame, contamination: float = CONTAMINATION) -> Forest:

@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from emberlog.operators.joins import sized
 from emberlog.session import stage
 
 #: Steps of the sketch's grid, and its accuracy: an error of a tenth of a step.
 GRID, ACCURACY = 500, 5_000
+#: Most groups whose brackets are broadcast; more are joined by a shuffle.
+BROADCAST_GROUPS = 100_000
 #: Rows of a bracket that may be ordered in one task.
 MOST = 1_000_000
 
@@ -27,10 +28,17 @@ def _inside(i: int) -> Column:
     return (low.isNull() | (F.col("v") >= low)) & (high.isNull() | (F.col("v") <= high))
 
 
+def _held(brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored; without keys it is one row, which comes to the driver instead."""
+    return stage(brackets, "brackets") if keys else brackets.sparkSession.createDataFrame(brackets.collect(), brackets.schema)
+
+
 def _with_brackets(values: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    side = sized(brackets.withColumnsRenamed({k: f"__b_{k}" for k in keys}), name="brackets")  # one row a group, measured
+    side = brackets.withColumnsRenamed({k: f"__b_{k}" for k in keys})
     if not keys:
         return values.crossJoin(F.broadcast(side))  # one row
+    if brackets.count() <= BROADCAST_GROUPS:  # a row is the keys and a few numbers for each quantile
+        side = F.broadcast(side)
     return values.join(side, [F.col(k).eqNullSafe(F.col(f"__b_{k}")) for k in keys])
 
 
@@ -49,7 +57,7 @@ def _narrowed(values: DataFrame, brackets: DataFrame, keys: Sequence[str], n: in
             F.when(first > 0, F.get(f"grid{i}", first)).otherwise(F.col(f"lo{i}")).alias(f"lo{i}"), F.when(last < GRID, F.get(f"grid{i}", last)).otherwise(F.col(f"hi{i}")).alias(f"hi{i}"),
             F.col(f"lo{i}").alias(f"was_lo{i}"), F.col(f"hi{i}").alias(f"was_hi{i}"), F.col(f"below{i}").alias(f"was_below{i}"), F.col(f"inside{i}").alias(f"was_inside{i}"), f"k{i}",
         ]
-    tried = stage(joined.select(*keys, "total", *ends), "brackets")
+    tried = _held(joined.select(*keys, "total", *ends), keys)
     fields = [c for c in tried.columns if c not in keys]
     rows = _with_brackets(values, tried, keys)
     counts = []
@@ -62,7 +70,7 @@ def _narrowed(values: DataFrame, brackets: DataFrame, keys: Sequence[str], n: in
         k, below = F.col(f"k{i}"), F.col(f"below{i}")
         proven = (below <= k) & (F.least(k + 1, F.col("total") - 1) < below + F.col(f"inside{i}"))
         out += [F.when(proven, F.col(c + str(i))).otherwise(F.col(f"was_{c}{i}")).alias(c + str(i)) for c in ("lo", "hi", "below", "inside")] + [f"k{i}"]
-    return stage(counted.select(*keys, "total", *out), "brackets")
+    return _held(counted.select(*keys, "total", *out), keys)
 
 
 def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float], keys: Sequence[str] = (), most: int | None = None) -> DataFrame:
@@ -79,7 +87,7 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
         F.lit(None).cast("double").alias(f"lo{i}"), F.lit(None).cast("double").alias(f"hi{i}"), F.lit(0).cast("long").alias(f"below{i}"), F.col("total").alias(f"inside{i}"),
         F.floor((F.col("total") - 1) * F.lit(float(p))).alias(f"k{i}"),
     )]
-    brackets = stage(sizes.select(*keys, "total", *start), "brackets")
+    brackets = _held(sizes.select(*keys, "total", *start), keys)
     groups = brackets.select(*[F.col(k).alias(f"__g_{k}") for k in keys], "total")
     widest = F.max(F.greatest(*[F.col(f"inside{i}") for i in range(n)])) if n > 1 else F.max("inside0")
     held = brackets.agg(widest).first()[0] or 0

@@ -176,3 +176,16 @@ def test_model_of_another_feature_form_is_refused(df):
     with pytest.raises(ValueError):
         E.score_or_cold(df, forest, "batch")
     assert E.score_or_cold(df, None).filter("is_anomaly").count() == 0
+
+
+def test_tail_scores_agree_with_and_without_the_merge(spark):
+    """Fitted rows are rated by a join, any rows by a merge that carries their numbers; a value most rows share is no special case."""
+    from emberlog.operators.models.ecod import fit_ecod
+
+    rows = [(float(i % 3 == 0), float((i * 37) % 101), None if i % 10 == 0 else i / 7, -0.0 if i % 2 else 0.0) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    model = fit_ecod(df, ["a", "b", "c", "d"])
+    key = lambda d: sorted((tuple(map(repr, r[:3])), r["raw_score"]) for r in d.collect())
+    one, two = key(model.score(df, seen=True)), key(model.score_fitted(df))
+    assert [k for k, _ in one] == [k for k, _ in two] and [v for _, v in one] == pytest.approx([v for _, v in two], rel=1e-12)
+    assert model.score(df.limit(0)).count() == 0

@@ -150,3 +150,23 @@ def test_incident_ends_are_half_open(spark):
 def test_rule_flag_handles_null(spark):
     df = spark.createDataFrame([(90.0,), (90.5,), (None,)], "value double")
     assert [r.is_anomaly for r in S.over_threshold(df, "value").collect()] == [False, True, False]
+
+
+@pytest.mark.parametrize("name", ["top_services", "service_report", "anomalies_by_service", "anomaly_stats"])
+def test_several_groupings_read_the_table_once(spark, tmp_path, name):
+    """Groups and totals are grouping sets of one scan."""
+    rows = [(datetime(2024, 6, 15, 9, i % 60), f"r{i}", "ERROR" if i % 4 else "INFO", f"s{i % 3}", 10 * i, i % 4 > 0, i % 5 == 0, i / 9, "/e", "m") for i in range(100)]
+    schema = "timestamp timestamp, request_id string, log_level string, service_name string, response_time_ms int, is_error boolean, is_anomaly boolean, anomaly_score double, endpoint string, message string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = getattr(G, name)(df) if name == "top_services" else getattr(G, name)(df, as_of=datetime(2024, 6, 15, 9, 59))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and out.count() > 0
+
+
+def test_several_groupings_of_no_rows(spark):
+    schema = "timestamp timestamp, request_id string, log_level string, service_name string, response_time_ms int, is_error boolean, is_anomaly boolean, anomaly_score double, endpoint string, message string"
+    none, at = spark.createDataFrame([], schema), datetime(2024, 6, 15, 9, 59)
+    assert G.top_services(none).count() == G.service_report(none, as_of=at).count() == G.anomalies_by_service(none, as_of=at).count() == 0
+    row = G.anomaly_stats(none, as_of=at).first()
+    assert (row.total_logs, row.total_anomalies, row.peak_count, len(row.by_bucket), row.top_services) == (0, 0, 0, 7, [])
