@@ -21,7 +21,7 @@ from emberlog.operators.models.scaling import temporal_split
 from emberlog.operators.ordered import ranked
 from emberlog.plans.catalog import ENTRIES, query
 from emberlog.schema import MICROS, MODEL_FEATURES
-from emberlog.sources.fixture import CYCLE_S, INCIDENTS, START_US, log_table
+from emberlog.sources.fixture import SPANS, START_US, incidents, log_table
 
 FEATURE_INPUT = (
     "us", "seq", "timestamp", "log_level", "service_name", "status_code", "response_time_ms", "ip_address",
@@ -92,7 +92,7 @@ def _(spark, sf_dir):
     "SELECT request_id, upper(service_name) AS shout, trim(concat('  ', message, ' ')) AS trimmed, "
     "substr(endpoint, 1, 7) AS head, length(endpoint) - length(replace(endpoint, '/', '')) AS slashes, "
     "status_code // 100 AS class, round(response_time_ms / 7.0, 2) AS rounded, "
-    "greatest(response_time_ms - 100, 0) AS clipped, coalesce(incident, 'none') AS filled, "
+    "greatest(response_time_ms - 100, 0) AS clipped, coalesce(CASE WHEN NOT is_slow THEN region END, 'none') AS filled, "
     "round(level_int / 60.0 * 60, 1) AS per_min, strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS iso, "
     "us / 1000000.0 AS epoch_s FROM logs",
 )
@@ -103,7 +103,7 @@ def _(spark, sf_dir):
         F.substring("endpoint", 1, 7).alias("head"), X.count_char(F.col("endpoint"), "/").alias("slashes"),
         F.expr("status_code div 100").alias("class"), F.round(F.col("response_time_ms") / 7.0, 2).alias("rounded"),
         F.greatest(F.col("response_time_ms") - 100, F.lit(0)).alias("clipped"),
-        F.coalesce("incident", F.lit("none")).alias("filled"), X.per_minute(F.col("level_int"), 60).alias("per_min"),
+        F.coalesce(F.when(~F.col("is_slow"), F.col("region")), F.lit("none")).alias("filled"), X.per_minute(F.col("level_int"), 60).alias("per_min"),
         X.iso_text(F.col("timestamp")).alias("iso"), (F.unix_micros("timestamp") / 1e6).alias("epoch_s"),
     )
 
@@ -120,12 +120,12 @@ def _(spark, sf_dir):
 
 @query(
     "Q1_search_filtered", PAGE,
-    "SELECT * FROM logs WHERE log_level = 'ERROR' AND service_name = 'worker' AND status_code = 503 "
+    "SELECT * FROM logs WHERE log_level = 'ERROR' AND service_name = 'view-1' AND status_code = 503 "
     "AND response_time_ms BETWEEN 200 AND 1500 ORDER BY us DESC, request_id LIMIT 500",
 )
 def _(spark, sf_dir):
     return S.search_logs(
-        logs(spark, sf_dir), limit=500, level="error", service="worker", status_code=503,
+        logs(spark, sf_dir), limit=500, level="error", service="view-1", status_code=503,
         min_response_ms=200, max_response_ms=1500,
     ).rows
 
@@ -138,11 +138,11 @@ def _(spark, sf_dir):
 
 @query(
     "Q3_anomaly_search", PAGE + " anomaly_score:d",
-    "SELECT * FROM logs WHERE is_anomaly AND service_name = 'accounts' AND anomaly_score >= 0.2 "
+    "SELECT * FROM logs WHERE is_anomaly AND service_name = 'signup-0' AND anomaly_score >= 0.12 "
     "ORDER BY anomaly_score DESC, us DESC, request_id LIMIT 50",
 )
 def _(spark, sf_dir):
-    return S.search_anomalies(logs(spark, sf_dir), service="accounts", min_score=0.2).rows
+    return S.search_anomalies(logs(spark, sf_dir), service="signup-0", min_score=0.12).rows
 
 
 @query(
@@ -254,11 +254,16 @@ def _(spark, sf_dir):
     return exclude_incidents(df, incidents_until(df, E.TRAINING_EXCLUSIONS))
 
 
-@query("J2_tag_incidents", "request_id:s tag:s", "SELECT request_id, coalesce(incident, '-') AS tag FROM logs")
+SPAN_SQL = " ".join(f"WHEN us >= lo + (hi - lo) * {a} // 100 AND us < lo + (hi - lo) * {b} // 100 THEN '{name}'" for name, a, b in SPANS)
+
+
+@query(
+    "J2_tag_incidents", "request_id:s tag:s",
+    f"ends AS (SELECT min(us) AS lo, max(us) AS hi FROM logs) => SELECT request_id, CASE {SPAN_SQL} ELSE '-' END AS tag FROM logs, ends",
+)
 def _(spark, sf_dir):
     df = logs(spark, sf_dir).select("request_id", "us")
-    until = df.agg(F.max("us")).first()[0]
-    return tag_incidents(df, recurring_incidents(INCIDENTS, START_US, CYCLE_S, until), name="tag").fillna("-", subset=["tag"])
+    return tag_incidents(df, incidents(df), name="tag").fillna("-", subset=["tag"])
 
 
 @query(
@@ -417,9 +422,9 @@ PROFILE_SQL = (
 )
 
 
-@query("A9_latency_profile", PROFILE_COLUMNS, PROFILE_SQL % "logs WHERE service_name = 'catalog'")
+@query("A9_latency_profile", PROFILE_COLUMNS, PROFILE_SQL % "logs WHERE service_name = 'click-1'")
 def _(spark, sf_dir):
-    return G.latency_profile(logs(spark, sf_dir), service="catalog")
+    return G.latency_profile(logs(spark, sf_dir), service="click-1")
 
 
 @query(

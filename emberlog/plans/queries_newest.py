@@ -65,10 +65,10 @@ def _(spark, sf_dir):
 
 @query(
     "Q1_search_walk", PAGE,
-    f"{_dealt(30)} => SELECT * FROM dealt WHERE log_level = 'ERROR' AND status_code = 599 AND service_name = 'worker' ORDER BY us DESC, request_id LIMIT 40",
+    f"{_dealt(30)} => SELECT * FROM dealt WHERE log_level = 'ERROR' AND status_code = 599 AND service_name = 'purchase-0' ORDER BY us DESC, request_id LIMIT 40",
 )
 def _(spark, sf_dir):
-    where = (F.col("log_level") == "ERROR") & (F.col("status_code") == 599) & (F.col("service_name") == "worker")
+    where = (F.col("log_level") == "ERROR") & (F.col("status_code") == 599) & (F.col("service_name") == "purchase-0")
     found = _spread(spark, sf_dir, 30).newest(40, where)
     return S.search_logs(found, limit=40).rows.withColumn("us", F.unix_micros("timestamp"))
 

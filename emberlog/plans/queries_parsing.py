@@ -203,7 +203,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     df = log_table(spark, sf_dir)
     spoiled = df.withColumn("log_level", F.when(F.col("seq") % 10 == 1, "VERBOSE").otherwise(F.col("log_level")))
-    body = spoiled.select("seq", D.document(spoiled, skip=("seq", "us", "incident")).alias("body"))
+    body = spoiled.select("seq", D.document(spoiled, skip=("seq", "us")).alias("body"))
     value = F.when(F.col("seq") % 10 == 0, F.lit("{broken")).otherwise(F.col("body"))
     return P.parse_recent(body.select(value.alias("value")))
 

@@ -194,7 +194,7 @@ def _(spark, sf_dir):
     def handle(batch: DataFrame, batch_id: int) -> None:
         store.update(log_entries(batch), batch_id)
 
-    batch_stream(spark, df.drop("log_date", "seq", "incident"), handle)
+    batch_stream(spark, df.drop("log_date", "seq"), handle)
     us = F.round(F.col("score") * 1_000_000)
     return store.read().select(F.col("ident").alias("request_id"), us.alias("us"))
 
@@ -343,7 +343,7 @@ def _(spark, sf_dir):
         rows = window.read().select(F.from_json("value", HISTORY_SCHEMA).alias("r")).select("r.*")
         summaries.write(G.rolling_summary(rows).select(F.to_json(F.struct("*")).alias("summary")), batch_id)
 
-    batch_stream(spark, logs(spark, sf_dir).drop("log_date", "seq", "incident"), handle)
+    batch_stream(spark, logs(spark, sf_dir).drop("log_date", "seq"), handle)
     last = summaries.read().select(F.from_json("summary", schema).alias("s")).select("s.*")
     return last.withColumn("top_services", listing("top_services", "service", "count"))
 

@@ -1,4 +1,4 @@
-"""Application logs derived from the ``events`` table: services from event types, latency and level from event values.
+"""A log table out of the columns of ``events``: services from event types, latency and level from event values.
 
 Exact arithmetic only, so that any SQL engine derives the same rows.
 """
@@ -8,42 +8,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberlog.operators.joins import Incident
 from emberlog.session import fresh_path, utc
 
 START_US = 1718421600000000
 
-#: Our own recurring incidents: name, first and end second of each cycle.
-CYCLE_S = 1500
-INCIDENTS = (("disk_full", 240, 390), ("slow_dns", 660, 780), ("cache_loss", 1110, 1290), ("crawl", 1350, 1440))
+#: Parts of the covered time, in hundredths, that queries tag or leave out as incidents.
+SPANS = (("first", 12, 19), ("second", 41, 47), ("third", 66, 74), ("fourth", 88, 91))
 
-_SPANS = " ".join(f"WHEN sec >= {lo} AND sec < {hi} THEN '{name}'" for name, lo, hi in INCIDENTS)
-
-LOGS_SQL = f"""
+LOGS_SQL = """
 WITH base AS (SELECT event_id, user_id, event_type, CAST(ROUND(value * 100) AS BIGINT) AS cents,
-   event_id * 110000 + {{EPOCH_US}} % 90000 AS t_us FROM {{EVENTS}}),
-phased AS (SELECT *, CAST(FLOOR(t_us / 1000000.0) AS BIGINT) % {CYCLE_S} AS sec FROM base),
-named AS (SELECT *, CASE {_SPANS} END AS incident,
-   CASE WHEN event_id % 8 = 0 THEN 'mailer' WHEN event_id % 8 = 5 THEN 'metrics' WHEN event_type = 'view' THEN 'catalog'
-     WHEN event_type = 'signup' THEN 'accounts' WHEN event_type = 'click' THEN 'frontend'
-     WHEN event_type = 'purchase' THEN 'checkout' ELSE 'worker' END AS service_name FROM phased),
-timed AS (SELECT *, CAST(1 + FLOOR(cents * cents / 80000.0) + CASE WHEN incident = 'slow_dns' THEN 900 + user_id
-   WHEN incident = 'cache_loss' AND service_name = 'catalog' THEN 2500 ELSE 0 END AS INT) AS response_time_ms FROM named),
-graded AS (SELECT *, CASE WHEN response_time_ms > 9000 OR (incident = 'disk_full' AND user_id % 11 = 3) THEN 'CRITICAL'
-   WHEN response_time_ms > 5000 OR (event_type = 'error' AND cents > 4000) THEN 'ERROR'
-   WHEN response_time_ms > 1500 OR event_type = 'error' THEN 'WARN' ELSE 'INFO' END AS log_level FROM timed)
-SELECT {{MK_TS}} AS timestamp, log_level, service_name,
-  CONCAT('/', service_name, CASE WHEN event_id % 3 = 0 THEN '' WHEN event_id % 3 = 1 THEN '/list'
-    ELSE CONCAT('/item/', CAST(user_id AS {{STR}})) END) AS endpoint,
+   event_id * 110000 + {EPOCH_US} % 90000 AS t_us FROM {EVENTS}),
+timed AS (SELECT *, CAST(1 + FLOOR(cents * cents / 250000.0) + user_id % 50 * 10 AS INT) AS response_time_ms,
+   CONCAT(event_type, '-', CAST(user_id % 2 AS {STR})) AS service_name FROM base),
+graded AS (SELECT *, CASE WHEN cents >= 26000 THEN 'CRITICAL' WHEN cents >= 16000 OR (event_type = 'error' AND cents >= 12000) THEN 'ERROR'
+   WHEN cents >= 9000 OR event_type = 'error' THEN 'WARN' ELSE 'INFO' END AS log_level FROM timed)
+SELECT {MK_TS} AS timestamp, log_level, service_name,
+  CONCAT('/', event_type, CASE WHEN cents % 2 = 0 THEN '' ELSE CONCAT('/', CAST(user_id AS {STR})) END) AS endpoint,
   response_time_ms,
-  CAST(CASE WHEN log_level = 'CRITICAL' THEN 500 WHEN log_level = 'ERROR' THEN CASE WHEN user_id % 5 < 3 THEN 503 ELSE 404 END
-    WHEN log_level = 'WARN' AND user_id % 4 = 0 THEN 429 WHEN event_type = 'signup' THEN 201 ELSE 200 END AS INT) AS status_code,
-  CASE WHEN event_id % 53 = 0 THEN 'probe' WHEN user_id % 9 = 4 THEN 'guest' ELSE CONCAT('user-', CAST(user_id AS {{STR}})) END AS user_id,
-  CASE WHEN incident = 'crawl' AND user_id % 4 < 3 THEN CONCAT('203.0.113.', CAST(event_id % 2 + 7 AS {{STR}}))
-    ELSE CONCAT('192.168.', CAST(CAST(FLOOR(user_id / 32.0) AS BIGINT) AS {{STR}}), '.', CAST(user_id % 32 + 10 AS {{STR}})) END AS ip_address,
-  CONCAT(service_name, ' took ', CAST(response_time_ms AS {{STR}}), ' ms') AS message,
-  CONCAT('r', CAST(event_id AS {{STR}})) AS request_id,
-  CASE user_id % 3 WHEN 0 THEN 'north' WHEN 1 THEN 'south' ELSE 'coast' END AS region,
-  'staging' AS environment, incident, event_id AS seq
+  CAST(CASE log_level WHEN 'CRITICAL' THEN 500 WHEN 'ERROR' THEN 400 + cents % 2 * 103 WHEN 'WARN' THEN 200 + cents % 3 * 100 ELSE 200 END AS INT) AS status_code,
+  CONCAT('user-', CAST(user_id AS {STR})) AS user_id,
+  CONCAT('10.', CAST(CAST(FLOOR(user_id / 100.0) AS BIGINT) AS {STR}), '.0.', CAST(user_id % 100 AS {STR})) AS ip_address,
+  CONCAT(event_type, ' took ', CAST(response_time_ms AS {STR}), ' ms') AS message,
+  CONCAT('r', CAST(event_id AS {STR})) AS request_id,
+  CONCAT('zone-', CAST(user_id % 4 AS {STR})) AS region,
+  'test' AS environment, event_id AS seq
 FROM graded
 """
 
@@ -62,6 +51,12 @@ def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(LOGS_SQL.format(**_SPARK), events=events)
 
 
+def incidents(df: DataFrame, spans: tuple[tuple[str, int, int], ...] = SPANS) -> list[Incident]:
+    """Half-open spans of the time that ``df`` covers."""
+    low, high = df.agg(F.min("us"), F.max("us")).first()
+    return [Incident(name, low + (high - low) * a // 100, low + (high - low) * b // 100) for name, a, b in spans]
+
+
 def scored_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Enriched logs with a plain rule in place of a model: easy to restate in SQL."""
     from emberlog.operators.parsing import enrich

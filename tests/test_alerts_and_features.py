@@ -87,12 +87,13 @@ def test_keep_latest_of_identical_copies(spark):
     assert keep_latest(df).count() == 1
 
 
-def test_keep_latest_without_a_broadcast(spark, monkeypatch):
-    import emberlog.operators.dedupe as D
-    from emberlog.session import stage
-
-    monkeypatch.setattr(D, "sized", lambda df, name: stage(df, name))
-    assert keep_latest(history(spark)).count() == 5
+def test_keep_latest_without_a_broadcast(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert keep_latest(history(spark)).count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
 def test_newest_distinct_collapses_equal_rows(spark):

@@ -88,7 +88,7 @@ def test_latency_is_truncated_and_instants_are_utc(parsed):
 def test_derived_fields(parsed):
     row = P.valid_logs(parsed).filter("i = 0").first()
     assert (row.level_int, row.is_error, row.is_slow, row.status_class, row.is_server_error) == (2, True, True, 5, True)
-    assert (row.hour_of_day, row.day_of_week, row.endpoint_depth) == (14, 5, 3)
+    assert (row.hour_of_day, row.day_of_week, row.endpoint_depth) == (4, 5, 3)
     assert row.features.response_time_ms == 5200.0 and row.features.is_error == 1.0
 
 
