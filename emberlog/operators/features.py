@@ -49,6 +49,12 @@ def response_moments(df: DataFrame) -> DataFrame:
     return df.agg(F.avg(rt).alias("rt_mean"), F.stddev_samp(rt).alias("rt_std"))
 
 
+def serving_stats(df: DataFrame) -> dict[str, float]:
+    """Mean and sample deviation of the cleaned latency to four places, as serving takes them from the data a model was fitted on."""
+    row = response_moments(df).select(F.round("rt_mean", 4), F.round("rt_std", 4)).first()
+    return {"mean": float(row[0] or 0.0), "std": float(row[1] or 0.0)}
+
+
 def batch_features(
     df: DataFrame, instant: str = "us", tie: str = "seq", rows_per_bucket: int | None = None
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from emberlog.plans.queries import CYCLE, FEATURE_CTE, incidents_until, logs, na
 from emberlog.plans.training import actual, prepare, train
 from emberlog.schema import MODEL_FEATURES
 from emberlog.session import fresh_path, stage
-from emberlog.sources.artifacts import export_splits, load_bundle, save_bundle
+from emberlog.sources.artifacts import Bundle, export_splits, load_bundle, save_bundle
 
 SPLIT_CTE = (
     "ranked AS (SELECT *, row_number() OVER (ORDER BY us, seq) AS rank FROM logs), "
@@ -295,7 +295,25 @@ def _(spark, sf_dir):
     return out
 
 
-@query("S14_model_round_trip", "model:s rows:i differing:i")
+@query(
+    "F10_serving_statistics", "seq:i response_time_zscore:d mean:d std:d",
+    "m AS (SELECT round(avg(response_time_ms), 4) AS mean, round(stddev_samp(response_time_ms), 4) AS std FROM logs) => "
+    "SELECT seq, (response_time_ms - mean) / (std + 1e-10) AS response_time_zscore, mean, std FROM logs, m",
+)
+def _(spark, sf_dir):
+    """Serving features with the statistics that the bundle of a fit carries, saved and read back."""
+    df = narrow(spark, sf_dir)
+    data = prepare(df, mode="serving")
+    path = fresh_path(spark, "models")
+    save_bundle(spark, Bundle(data.scaler, "serving", "forest", stats=data.stats), path)
+    stats = load_bundle(spark, path).stats
+    return Fe.serving_features(df, stats=stats).withColumns({"mean": F.lit(stats["mean"]), "std": F.lit(stats["std"])})
+
+
+@query(
+    "S14_model_round_trip", "model:s rows:i differing:i",
+    "SELECT unnest(['forest', 'hbos', 'ecod']) AS model, (SELECT count(*) FROM logs) AS rows, 0 AS differing",
+)
 def _(spark, sf_dir):
     df = narrow(spark, sf_dir)
     bundle, comparison, _ = train(df, incidents_until(df, E.TRAINING_EXCLUSIONS))

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlog.operators.features import batch_features, serving_features
+from emberlog.operators.features import batch_features, serving_features, serving_stats
 from emberlog.operators.joins import Incident
 from emberlog.operators.models import evaluation as E
 from emberlog.operators.models.ecod import fit_ecod
@@ -32,6 +32,7 @@ class Prepared:
     features: DataFrame
     scaled: DataFrame
     scaler: object
+    stats: Mapping[str, float]
 
     @property
     def train(self) -> DataFrame:
@@ -46,10 +47,11 @@ def prepare(logs: DataFrame, mode: str = "batch", fit_on: str = "all") -> Prepar
     """Engineer features in one of their two forms, scale them and split by time."""
     if mode not in ("batch", "serving") or fit_on not in ("all", "train"):
         raise ValueError("mode is batch or serving, fit_on is all or train")
-    engineered = batch_features(logs) if mode == "batch" else serving_features(logs)
+    stats = serving_stats(logs)
+    engineered = batch_features(logs) if mode == "batch" else serving_features(logs, stats=stats)
     features = stage(temporal_split(engineered, rows=logs.count()), "features")
     scaler = fit_scaler(features if fit_on == "all" else features.filter("split = 'train'"))
-    return Prepared(features, stage(scaler.transform(features), "scaled"), scaler)
+    return Prepared(features, stage(scaler.transform(features), "scaled"), scaler, stats)
 
 
 def actual() -> F.Column:
@@ -85,4 +87,4 @@ def train(
     }
     comparison = stage(E.compare_models(metrics, spent), "comparison")
     best = comparison.filter("selected").first()["model"]
-    return Bundle(data.scaler, mode, best, forest, hbos, ecod), comparison, sweep
+    return Bundle(data.scaler, mode, best, forest, hbos, ecod, data.stats, share), comparison, sweep

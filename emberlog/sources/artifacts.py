@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,9 @@ class Bundle:
     forest: Forest | None = None
     hbos: Histograms | None = None
     ecod: TailModel | None = None
+    #: Latency statistics for serving, and the contamination that the forest's threshold was fitted with.
+    stats: Mapping[str, float] | None = None
+    contamination: float | None = None
 
     @property
     def best_model(self):
@@ -59,6 +62,9 @@ def save_bundle(spark: SparkSession, bundle: Bundle, path: str, metrics: DataFra
     rows = [(i, f, scaler.mean[f], scaler.std[f]) for i, f in enumerate(scaler.features)]
     put(spark.createDataFrame(rows, _SCALER), "scaler")
     settings: list[tuple] = [("bundle", "mode", None, bundle.mode), ("bundle", "best", None, bundle.best)]
+    settings += [("serving", k, float(v), None) for k, v in (bundle.stats or {}).items()]
+    if bundle.contamination is not None:
+        settings.append(("forest", "contamination", float(bundle.contamination), None))
     if bundle.forest is not None:
         put(spark.createDataFrame(bundle.forest.nodes, NODE_SCHEMA), "forest")
         settings += [("forest", "sample_size", float(bundle.forest.sample_size), None),
@@ -107,4 +113,5 @@ def load_bundle(spark: SparkSession, path: str, features: Sequence[str] = MODEL_
         skew = {f: int(settings[("ecod_skew", f)]) for f in names}
         ecod = TailModel(names, spark.read.parquet(f"{path}/ecod"), int(settings[("ecod", "total")]), skew,
                          settings[("ecod", "offset")])
-    return Bundle(scaler, settings[("bundle", "mode")], settings[("bundle", "best")], forest, hbos, ecod)
+    stats = {key: number for (name, key), number in settings.items() if name == "serving"} or None
+    return Bundle(scaler, settings[("bundle", "mode")], settings[("bundle", "best")], forest, hbos, ecod, stats, settings.get(("forest", "contamination")))

@@ -31,9 +31,11 @@ def message_files(spark: SparkSession, path: str, format: str = "parquet", **opt
 
 
 def training_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw training rows with a UTC ``timestamp`` and its microseconds ``us``; fails when a needed column is absent.
+    """Raw training rows with a UTC ``timestamp``, its microseconds ``us`` and a tie column ``seq``, as training needs them.
 
-    Rows are not sorted: the ordered operators find the time order themselves.
+    Fails when a needed column is absent, and as soon as a row without a readable timestamp is met. Rows are not sorted: the ordered
+    operators find the time order themselves. ``seq`` is a hash of the row, so it depends on no file order; rows of one instant
+    that share it are equal.
     """
     present = spark.read.option("header", True).csv(path).columns
     missing = [c for c in ("timestamp", *TRAINING_REQUIRED) if c not in present]
@@ -42,7 +44,9 @@ def training_csv(spark: SparkSession, path: str) -> DataFrame:
     fields = {f.name: f.dataType for f in TRAINING_SCHEMA}
     raw = spark.read.option("header", True).csv(path)
     typed = raw.select(*[F.col(c).cast(fields.get(c, "string")).alias(c) for c in present])
-    out = typed.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
+    said = F.coalesce(F.col("timestamp"), F.lit("none"))
+    refused = F.raise_error(F.concat(F.lit("not a timestamp: "), said)).cast("timestamp")
+    out = typed.withColumn("seq", F.xxhash64(*present)).withColumn("timestamp", F.coalesce(F.col("timestamp").try_cast("timestamp"), refused))
     return out.withColumn("us", F.unix_micros("timestamp"))
 
 

@@ -15,6 +15,7 @@ from emberlog.operators.parsing import parse_logs
 from emberlog.schema import HISTORY_SCHEMA, RECENT_ROWS
 from emberlog.session import scratch, stage
 from emberlog.sources.documents import live_feed, strict_split
+from emberlog.sources.artifacts import Bundle
 from emberlog.sources.history import History
 from emberlog.sources.latest import NewestStore, alert_entries, alert_store, log_entries, recent_log_store
 from emberlog.sources.versions import VersionedTable
@@ -97,6 +98,11 @@ class LogPipeline:
         self.alerting = AlertState(spark, paths.at("state/alerting"))
         self.notices = notice_state(spark, paths.at("state/notices"))
 
+    @classmethod
+    def of(cls, spark: SparkSession, root: str, bundle: Bundle, **options) -> LogPipeline:
+        """The pipeline that scores with a fitted bundle: its best model, scaler, feature form and latency statistics."""
+        return cls(spark, root, bundle.best_model, bundle.scaler, bundle.stats, bundle.mode, **options)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Handle one micro-batch of parsed messages."""
         with scratch(batch.sparkSession):

@@ -202,3 +202,28 @@ def test_pipeline_without_a_model_flags_nothing(spark, tmp_path):
     assert pipeline.recent.count() == 0
     with pytest.raises(ValueError):
         LogPipeline(spark, str(tmp_path / "x"), sinks=("mail",))
+
+
+def test_csv_to_a_fitted_bundle_and_its_statistics(spark, tmp_path):
+    """Training reads the CSV as it comes; the bundle carries the latency statistics that serving uses."""
+    from emberlog.plans.training import train
+    from emberlog.sources.artifacts import load_bundle, save_bundle
+
+    lines = [((START + timedelta(seconds=i // 2)).isoformat() + "+00:00", "ERROR" if i % 9 == 0 else "INFO", "s", 10 + i % 50, 500 if i % 9 == 0 else 200, f"10.0.0.{i % 4}") for i in range(240)]
+    columns = "timestamp string, log_level string, service_name string, response_time_ms int, status_code int, ip_address string"
+    spark.createDataFrame(lines, columns).repartition(3).write.option("header", True).csv(str(tmp_path / "csv"))
+    raw = training_csv(spark, str(tmp_path / "csv"))
+    bundle, comparison, _ = train(raw, [], trees=10)
+    save_bundle(spark, bundle, str(tmp_path / "models"), comparison)
+    loaded = load_bundle(spark, str(tmp_path / "models"))
+    want = raw.agg(F.round(F.avg("response_time_ms"), 4), F.round(F.stddev_samp("response_time_ms"), 4)).first()
+    assert loaded.stats == {"mean": want[0], "std": want[1]} and loaded.contamination == bundle.contamination
+    pipeline = LogPipeline.of(spark, str(tmp_path / "live"), loaded)
+    assert pipeline.stats == loaded.stats and pipeline.mode == "batch"
+
+
+def test_training_csv_refuses_bad_timestamps(spark, tmp_path):
+    rows = [("2024-06-15T09:00:00Z", "INFO", 5, 200, "a"), ("yesterday", "INFO", 5, 200, "a")]
+    spark.createDataFrame(rows, "timestamp string, log_level string, response_time_ms int, status_code int, ip_address string").write.option("header", True).csv(str(tmp_path / "c"))
+    with pytest.raises(Exception, match="not a timestamp: yesterday"):
+        training_csv(spark, str(tmp_path / "c")).select("us").collect()
