@@ -16,6 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -111,6 +112,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so that few whole texts are Python strings at once."""
+    for batch in batches:
+        for a in range(0, batch.num_rows, rows):
+            yield batch.slice(a, rows)
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents and occurrences (at most 3 a document's word) of each entry by half and label; entry "" counts all."""
 
@@ -122,7 +130,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         })
 
     docs, seen = Counter(), Counter()
-    for batch in batches:
+    for batch in _small(batches):
         for text, label, half in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
             words, own = Counter(fold(text).split()), Counter()
             for w, n in words.items():
@@ -132,7 +140,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for entry, n in own.items():
                 docs[half, label, entry] += 1
                 seen[half, label, entry] += n
-            if len(docs) > 300_000:
+            if len(docs) > 100_000:
                 yield flush(docs, seen)
                 docs, seen = Counter(), Counter()
     if docs:
@@ -187,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
     other = {0: of(1), 1: of(0)}
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             found = [other[h].features(t) for t, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.float64()))], names=["toxic", "x"])
 
@@ -206,12 +214,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """``row`` (all columns of ``docs``), ``score`` and ``predicted`` (1 from ``threshold`` on) of every whole text; null: empty."""
+    """``row`` (all columns of ``docs``), ``score`` and ``predicted`` (1 from ``threshold`` on) of every whole text; null: empty.
+
+    A row is sent once, and its text taken out of it; repeated rows score alike, an empty table gives no rows.
+    """
+    at = docs.columns.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = model.score(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=["row", "score", "predicted"])
+        for batch in _small(batches):
+            found = model.score(pc.struct_field(batch.column(0), [at]).cast(pa.string()).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32))], names=["row", "score", "predicted"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text"), F.struct("*").alias("row"))
+    rows = docs.select(F.struct("*").alias("row"))
     return rows.mapInArrow(scan, f"row {rows.schema['row'].dataType.simpleString()}, score double, predicted int")
