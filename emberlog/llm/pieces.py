@@ -21,8 +21,8 @@ from emberlog.llm.common import mix, slices
 
 SPACE = "▁"
 _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*")
-#: Stands for the model's space sign where a text holds it.
-_SIGN = "\x00sign"
+#: Stands for the model's space sign where a text holds it; no word of a text is empty.
+_SIGN = ""
 _NONE, _LONG = np.int64(1 << 40), 64
 
 
@@ -43,9 +43,10 @@ class PieceCoder:
         self.n, self.limit, self.seed, self.variants, self.most = n, min(int(dropout * 2**64), 2**64 - 1), seed, variants, most
         self.sign = np.array([self.bytes[b] for b in SPACE.encode()], "<u4").tobytes()
         self.known: list[dict[str, bytes]] = [{} for _ in range(variants)]
-        #: Cuts without limit: ids, merges and (word, skipped merges) by number, the first of each word, and those that follow.
+        #: Cuts without limit: ids and (word, skipped merges) by number, their merges one after another (plain and mixed) up to
+        #: ``ends``, the first of each word, and those that follow.
         self.cuts: list[bytes] = []
-        self.paths: list[np.ndarray] = []
+        self.path, self.mixed, self.ends = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(1, np.int64)
         self.of: list[tuple[str, tuple[int, ...]]] = []
         self.root: dict[str, int] = {}
         self.next: dict[int, int] = {}
@@ -148,7 +149,9 @@ class PieceCoder:
         self.cuts += self._merge([w for w, _ in asked], None, np.array(sorted(skipped), np.int64), trace)
         row, code = (np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 2, *trace, strict=True))
         order = np.argsort(row, kind="stable")
-        self.paths += np.split(code[order], np.searchsorted(row[order], np.arange(1, len(asked))))
+        code, ends = code[order], np.searchsorted(row[order], np.arange(1, len(asked) + 1))
+        self.ends = np.r_[self.ends, ends + len(self.path)]
+        self.path, self.mixed = np.r_[self.path, code], np.r_[self.mixed, mix(code.astype(np.uint64), 12)]
         self.of += asked
         return range(len(self.of) - len(asked), len(self.of))
 
@@ -156,36 +159,36 @@ class PieceCoder:
         """Keep the first cuts, as frequent words are met first; a cut comes after the one it follows from."""
         if len(self.of) > self.most:
             n = self.most // 2
-            self.cuts, self.paths, self.of = self.cuts[:n], self.paths[:n], self.of[:n]
+            self.cuts, self.of, self.ends = self.cuts[:n], self.of[:n], self.ends[: n + 1]
+            self.path, self.mixed = self.path[: self.ends[-1]], self.mixed[: self.ends[-1]]
             self.root, self.next = ({k: v for k, v in d.items() if v < n} for d in (self.root, self.next))
 
     def occurrences(self, words: list[str], keys: np.ndarray) -> list[bytes]:
         """Ids of words, each with a key of its own."""
         self._forget()
-        lacking = sorted({w for w in words if w not in self.root and w != _SIGN and len(w) <= _LONG})
+        found = [self.root.get(w, -1) for w in words]
+        lacking = sorted({w for w, k in zip(words, found, strict=True) if k < 0 and w != _SIGN and len(w) <= _LONG})
         if lacking:
             self.root.update(zip(lacking, self._cut([(w, ()) for w in lacking]), strict=True))
-        cut = np.array([self.root.get(w, -1) for w in words], np.int64)
+            found = [self.root.get(w, -1) if k < 0 else k for w, k in zip(words, found, strict=True)]
+        cut = np.array(found, np.int64)
         left = np.nonzero(cut >= 0)[0] if self.limit else np.zeros(0, np.int64)
         while len(left):
-            kinds, which = np.unique(cut[left], return_inverse=True)
-            paths = [self.paths[k] for k in kinds.tolist()]
-            sizes = np.array([len(p) for p in paths])
-            some = sizes[which] > 0
-            left, which = left[some], which[some]
+            left = left[self.ends[cut[left] + 1] > self.ends[cut[left]]]
             if not len(left):
                 break
-            size = sizes[which]
+            start = self.ends[cut[left]]
+            size = self.ends[cut[left] + 1] - start
             first = np.cumsum(size) - size
             nth = np.arange(size.sum()) - np.repeat(first, size)
-            codes = mix(np.concatenate(paths).astype(np.uint64), 12)[nth + np.repeat((np.cumsum(sizes) - sizes)[which], size)]
+            codes = self.mixed[np.repeat(start, size) + nth]
             drop = mix(np.repeat(keys[left], size) ^ codes, 13) < np.uint64(self.limit)
             nth = np.minimum.reduceat(np.where(drop, nth, _LONG), first)
             left, nth = left[nth < _LONG], nth[nth < _LONG]
             follow, which = np.unique(cut[left] << 8 | nth, return_inverse=True)
             new = [x for x in follow.tolist() if x not in self.next]
             if new:
-                asked = [(self.of[x >> 8][0], (*self.of[x >> 8][1], int(self.paths[x >> 8][x & 255]))) for x in new]
+                asked = [(self.of[x >> 8][0], (*self.of[x >> 8][1], int(self.path[self.ends[x >> 8] + (x & 255)]))) for x in new]
                 self.next.update(zip(new, self._cut(asked), strict=True))
             cut[left] = np.array([self.next[x] for x in follow.tolist()], np.int64)[which]
         out = [self.cuts[k] if k >= 0 else self.sign for k in cut.tolist()]

@@ -219,3 +219,10 @@ def test_coding_in_spark(spark, make):
     key = lambda rows: Counter((r["doc_id"], r["ids"]) for r in rows)
     assert key(got) == key(again) != key(other)
     assert pieces.encode(make([]), path).count() == 0
+
+
+@given(st.lists(st.sampled_from(["▁", "\x00", "sign", "\x00sign", " ", "the ", "é", "\ud800", "日本", "\n", "a"]), max_size=12).map("".join), st.sampled_from([0, 3]))
+@settings(max_examples=150, deadline=None)
+def test_any_text_comes_back(text, variants):
+    code = pieces.coder(P.path("piece_bpe_32k.model"), 0.3, 5, variants)
+    assert code.decode(code.encode([text], [9])[0]) == text
