@@ -1,6 +1,6 @@
 """Toxicity scores from a weighted lexicon.
 
-Texts are folded (case, look-alike letters, digits written for letters) and matched with an Aho-Corasick automaton against
+Texts are folded (case, marks, compatibility forms, look-alike letters, digits written for letters, letters spelt one by one) and matched with an Aho-Corasick automaton against
 whole words and word beginnings. Weights are learned from labelled documents as smoothed log ratios; of the entries that match one
 word the strongest counts. Matches inside an exception phrase don't count. A logistic model turns the weighted matches, as such
 and by text length, into a score.
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,23 +23,39 @@ from pyspark.sql import functions as F
 
 from emberlog.llm.common import stage
 
-#: Letters of other scripts and signs read as Latin letters, digits read as letters.
-LOOK_ALIKES = {
-    "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "к": "k", "м": "m", "т": "t",
-    "в": "b", "н": "h", "α": "a", "ο": "o", "ρ": "p", "ι": "i", "ν": "v", "κ": "k", "τ": "t", "υ": "u", "ε": "e", "ı": "i", "ß": "ß",
-    "@": "a", "$": "s", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t",
+# For each Latin letter the small letters of other scripts, phonetic letters and signs that are read as it.
+_LOOK_ALIKES = {
+    "a": "аαɑ@", "b": "вьƀɓβ", "c": "сϲɕ", "d": "ԁɗđ", "e": "еεєɛə", "f": "ƒ", "g": "ɡɢց", "h": "нһհ", "i": "іιıɪ", "j": "јʝ", "k": "кκ",
+    "l": "ӏłʟ", "m": "мʍ", "n": "пηո", "o": "оοօøσ", "p": "рρ", "q": "ԛ", "r": "гʀɾ", "s": "ѕꜱʂ$", "t": "тτŧ", "u": "υսʋ", "v": "ѵν", "w": "ԝωѡ",
+    "x": "хχ", "y": "уүγʏ", "z": "ʐƶ",
 }
-#: Harmless phrases that hold an otherwise listed word.
+#: Digits written for letters; they count as letters only in words that hold a letter.
+_DIGITS = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g"}
+#: Harmless phrases that hold an otherwise listed word; ``fit`` takes others.
 EXCEPTIONS = ("clown fish", "trash can", "trash bin", "class clown", "sore loser", "pond scum")
-_FOLD = str.maketrans(LOOK_ALIKES | {chr(0xFF01 + i): chr(0x21 + i).lower() for i in range(94)} | {c: None for c in "​‌‍­﻿"})
-_WORDS = re.compile(r"[^\W\d_]+")
+_SIGNS = {ord(c): letter for letter, others in _LOOK_ALIKES.items() for c in others}
+_FOLD = str.maketrans(_DIGITS)
+#: Combining marks of the Latin, Greek and Cyrillic letters, and signs without width.
+_MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f\u00ad\u200b-\u200f\u2060\ufeff]+")
+#: Letters one by one with a dot, dash, star or underscore between them.
+_SPELT = re.compile(r"(?<![^\W_])(?:[^\W_][.*_·-]){2,}[^\W_](?![^\W_])")
+_GAPS = re.compile(r"[.*_·-]")
+_WORDS = re.compile(r"\d*[^\W\d_][^\W_]*")
 _SHORTEST, _LONGEST = 3, 9
 
 
 def fold(text: str | None) -> str:
-    """The folded words, each with a space before and after."""
-    words = _WORDS.findall((text or "").lower().translate(_FOLD))
-    return f" {' '.join(words)} " if words else " "
+    """The folded words, each with a space before and after.
+
+    Compatibility forms (full width, mathematical, ligatures), marks, look-alike letters, digits inside words and letters spelt
+    one by one are read as plain letters; numbers are no words.
+    """
+    text = (text or "").lower()
+    if not text.isascii():
+        text = unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower())
+    text = _SPELT.sub(lambda m: _GAPS.sub("", m[0]), text.translate(_SIGNS))
+    words = _WORDS.findall(text)
+    return f" {' '.join(words)} ".translate(_FOLD) if words else " "
 
 
 def _entries(word: str) -> list[str]:
@@ -62,7 +79,12 @@ class Lexicon:
 
         if self._automaton is None:
             self._automaton = ahocorasick.Automaton()
+            folded_weights: dict[str, float] = {}
             for entry, weight in self.weights.items():
+                plain = fold(entry) if entry.endswith(" ") else fold(entry)[:-1]
+                if plain.strip():
+                    folded_weights[plain] = max(weight, folded_weights.get(plain, 0.0))
+            for entry, weight in folded_weights.items():
                 self._automaton.add_word(entry, (len(entry), weight))
             for phrase in self.exceptions:
                 if (entry := fold(phrase)) != " ":
@@ -74,14 +96,21 @@ class Lexicon:
         spared: list[tuple[int, int]] = []
         for end, (size, weight) in self._automaton.iter(folded):
             at = end - size + 1
-            if weight < 0:
+            if weight < 0:  # a phrase, from its first word up to the space after its last
                 spared.append((at, end))
             elif weight > best.get(at, 0.0):
                 best[at] = weight
-        for a, b in spared:
-            for at in [x for x in best if a <= x < b]:
-                del best[at]
-        return best
+        if not spared:
+            return best
+        spared.sort()
+        kept, k, until = {}, 0, -1
+        for at in sorted(best):
+            while k < len(spared) and spared[k][0] <= at:
+                until = max(until, spared[k][1])
+                k += 1
+            if at >= until:
+                kept[at] = best[at]
+        return kept
 
     def features(self, text: str | None) -> list[float]:
         folded = fold(text)
@@ -163,12 +192,13 @@ def _lexicon(rows: list[tuple[str, int, int, int, int]]) -> dict[str, float]:
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """Learn from labelled rows that are not held out: about ``most`` of them, picked by a hash of the id, never over twice that.
 
     The lexicon counts over all those rows. The logistic part sees each half of them through a lexicon of the other half,
-    so that entries don't look better than they are. A null label counts as none; of several labels the highest holds. With
-    rows of one label only, every score is that share.
+    so that entries don't look better than they are. Words inside one of the ``exceptions`` don't count. A null label counts as
+    none; of several labels the highest holds. With rows of one label only, every score is that share. Of ``docs`` only ``doc_id`` and
+    ``text`` are read, of ``labels`` only ``doc_id`` and ``toxic``; a null text has no words, a repeated row counts as often as it is there.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
@@ -185,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
     table = counted.groupBy("entry").agg(*cells).na.fill(0).filter("docs10 + docs11 >= 4 or entry = ''").toArrow().to_pylist()
 
     def of(*halves: int) -> Lexicon:
-        return Lexicon(_lexicon([(r["entry"], *(sum(r[f"{c}{label}{h}"] for h in halves) for c in ("docs", "seen") for label in (1, 0))) for r in table]))
+        return Lexicon(_lexicon([(r["entry"], *(sum(r[f"{c}{label}{h}"] for h in halves) for c in ("docs", "seen") for label in (1, 0))) for r in table]), exceptions)
 
     total = next((r for r in table if r["entry"] == ""), None)
     toxic = total["docs10"] + total["docs11"] if total else 0
@@ -216,7 +246,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Model:
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """``row`` (all columns of ``docs``), ``score`` and ``predicted`` (1 from ``threshold`` on) of every whole text; null: empty.
 
-    A row is sent once, and its text taken out of it; repeated rows score alike, an empty table gives no rows.
+    A row is sent once, and its text taken out of it, so columns of any name pass through. Time grows with the length of a text as
+    it is, however long; repeated rows and texts that tie score alike; an empty table gives no rows.
     """
     at = docs.columns.index("text")
 

@@ -57,6 +57,48 @@ def test_folding_and_exceptions():
     assert toxicity.Lexicon({}, ()).features("word " * 5000)[1] == 0
 
 
+@pytest.mark.parametrize("form", [
+    "ｉｄｉ０ｔ", "ídïöt", "𝐢𝐝𝐢𝐨𝐭", "𝓲𝓭𝓲𝓸𝓽", "i.d.i.o.t", "I-D-I-0-T", "id\u200biot", "i\u0301diot", "1d10t", "іԁіоt", "id\u00adiot", "ⓘⓓⓘⓞⓣ",
+])
+def test_disguised_words_are_folded(form):
+    assert toxicity.fold(f"an {form}!") == " an idiot "
+
+
+def test_what_folding_leaves_alone():
+    assert toxicity.fold("8itch 9ross 6oon 2ero") == " bitch gross goon zero "
+    assert toxicity.fold("2024, 3.14 e.g. 한국어 v1.2.3") == toxicity.fold("e g 한국어 v1")
+    assert toxicity.fold("well-known a-b") == " well known a b "
+
+
+def plain_matches(lexicon, folded):
+    """Every entry tried at every place."""
+    best, spared = {}, set()
+    for phrase in lexicon.exceptions:
+        entry = toxicity.fold(phrase)
+        spared |= {x for at in range(len(folded)) if folded.startswith(entry, at) for x in range(at, at + len(entry) - 1)}
+    for entry, weight in lexicon.weights.items():
+        for at in range(len(folded)):
+            if folded.startswith(entry, at) and at not in spared:
+                best[at] = max(best.get(at, 0.0), weight)
+    return best
+
+
+def test_matches_against_every_place():
+    r = random.Random(5)
+    words = ["trash", "trashy", "can", "bin", "clown", "class", "fish", "scum", "pond", "a"]
+    for _ in range(300):
+        entries = {e: r.random() + 0.1 for w in r.sample(words, 5) for e in toxicity._entries(w)}
+        pairs = tuple(" ".join(r.sample(words, r.randint(2, 3))) for _ in range(r.randint(0, 6)))
+        lexicon = toxicity.Lexicon(entries, pairs)
+        folded = toxicity.fold(" ".join(r.choice(words) for _ in range(r.randint(0, 40))))
+        assert lexicon.matches(folded) == plain_matches(lexicon, folded)
+
+
+def test_many_exceptions_in_one_text():
+    lexicon = toxicity.Lexicon({" trash ": 2.0, " bad ": 1.0})
+    assert len(lexicon.matches(toxicity.fold("trash can bad " * 100_000))) == 100_000
+
+
 def test_odd_rows_and_one_sided_labels(spark, make, labelled):
     docs, labels = labelled
     model = toxicity.fit(docs, labels)
