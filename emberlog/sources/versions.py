@@ -13,7 +13,7 @@ KEPT_VERSIONS = 3
 COMPACT_EVERY = 50
 
 
-class _Folder:
+class Folder:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
 
@@ -32,11 +32,15 @@ class _Folder:
             if n.startswith(f"{prefix}=") and fs.exists(self._path(f"{n}/_SUCCESS"))
         )
 
+    def children(self, child: str = "") -> list[str]:
+        fs, p = self._fs(), self._path(child)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def remove(self, child: str) -> None:
         self._fs().delete(self._path(child), True)
 
 
-class VersionedTable(_Folder):
+class VersionedTable(Folder):
     """A table replaced as a whole by each batch."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str) -> None:
@@ -59,7 +63,7 @@ class VersionedTable(_Folder):
             self.remove(f"version={old}")
 
 
-class RunningSums(_Folder):
+class RunningSums(Folder):
     """Sums per key kept as one increment per batch, folded into a snapshot now and then.
 
     A batch writes the keys it saw, not the whole table.
