@@ -133,6 +133,46 @@ def test_empty_input(spark):
     assert O.column_quantiles(df, "v", [0.5]) == [None]
 
 
+@pytest.fixture
+def few_on_the_driver(monkeypatch):
+    """Cut points of more than 16 buckets are stored; counts the keys that come to the driver."""
+    seen, sample = [], O._sample_keys
+    monkeypatch.setattr(O, "MAX_DRIVER_BUCKETS", 16)
+    monkeypatch.setattr(O, "_sample_keys", lambda *a: (seen.append(sample(*a)), seen[-1])[1])
+    monkeypatch.setattr(O, "MIN_ROWS_TO_SPLIT", 200)
+    return seen
+
+
+@pytest.mark.parametrize("per_bucket", [3, 7, 40])
+def test_stored_cut_points(data, few_on_the_driver, per_bucket):
+    """Buckets in proportion to the rows: the order holds, the driver's sample does not grow, and no row carries the cut points."""
+    pdf, df = data
+    splits = O.split_order(df, ("us", "seq"), per_bucket)
+    tagged = splits.tag(df, "b")
+    text = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert len(few_on_the_driver) == 1 and len(few_on_the_driver[0]) <= 6 * O.SAMPLES_PER_BUCKET
+    assert len(splits.bounds) < 16 < splits.buckets
+    buckets = collected(tagged, "b").loc[pdf.seq].to_numpy()
+    assert (np.diff(buckets) >= 0).all() and 0 <= buckets[0] and buckets[-1] < splits.buckets
+    assert np.bincount(buckets).max() <= 4 * per_bucket + 8
+    got = collected(O.ranked(df, ("us", "seq"), rows_per_bucket=per_bucket), "rank")
+    assert (got.loc[pdf.seq].to_numpy() == np.arange(1, len(pdf) + 1)).all()
+    got = collected(O.running_counts(df, "ip", "us", "seq", "n", rows_per_bucket=per_bucket), "n")
+    assert (got.loc[pdf.seq].to_numpy() == (pdf.groupby("ip").cumcount() + 1).to_numpy()).all()
+
+
+def test_stored_cut_points_of_a_trailing_window(data, few_on_the_driver):
+    pdf, df = data
+    values = {"n": one(), "s": F.col("v")}
+    got, want = (
+        O.trailing_totals(df, "us", "seq", 20_000, values, overall={"rank": one()}, rows_per_bucket=size).toPandas().set_index("seq").loc[pdf.seq]
+        for size in (7, 10_000)
+    )
+    assert got[["n", "s", "rank"]].equals(want[["n", "s", "rank"]])
+    assert all(len(s) <= 10 * O.SAMPLES_PER_BUCKET for s in few_on_the_driver)
+
+
 def windows_in_one_task(df) -> list[str]:
     """Window nodes of the plan fed by a single-partition exchange."""
     lines = df._jdf.queryExecution().sparkPlan().toString().splitlines()
