@@ -125,3 +125,23 @@ def test_sample_message_is_cut_at_120(spark):
     )
     row = df.select(P.sample_log().alias("s")).first().s
     assert len(row.message) == 120 and row.anomaly_score == 0.1235
+
+
+def test_only_the_fields_asked_for_are_read(parsed):
+    """The counts by reason need the checks and the instant, not the other typed fields."""
+    plan = parsed.groupBy("reject_reason").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.status_code" in plan
+    assert not [f for f in ("request_id", "host", "stack_trace", "queue_depth") if f"$.{f}" in plan]
+
+
+@pytest.mark.parametrize("text", [
+    "2024-06-15T14:30:00+00:00", "2024-06-15 14:30:00.5Z", "2024-06-15T14:30:00.123456789-03:30", "2024-06-15T14:30:00\n", "2024-06-15T24:30:00Z",
+    "2024-06-15T14:30:00+0200", "\t2024-06-15", "2024-06-15T14Z", "2024-02-30T00:00:00Z", "2024-06-15T14:30:00+25:00", "",
+])
+def test_plain_instants_read_like_mended_ones(spark, text):
+    """White space in front leads round the short way for the usual form."""
+    from emberlog.functions import scalar as X
+
+    df = spark.createDataFrame([(text, " " + text)], "a string, b string")
+    a, b = df.select(X.parse_iso(F.col("a")).cast("string"), X.parse_iso(F.col("b")).cast("string")).first()
+    assert a == b
