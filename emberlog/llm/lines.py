@@ -18,8 +18,8 @@ ACCUMULATORS, LANES, PART = 9, 7, 127
 _ONES, _COPIES = 0x01010101010101, 0x02040810204081
 #: First bit and number of bits of each block, and how far hashes may differ.
 BLOCKS, APART = ((0, 13), (13, 13), (26, 13), (39, 12), (51, 12)), 3
-#: Rounds of leaders, and lines of one hash that are compared with as many at a time.
-ROUNDS, BLOCK = 4, 256
+#: Lines of one hash that are compared with as many at a time.
+BLOCK = 256
 TABLES = tuple(combinations(range(len(BLOCKS)), len(BLOCKS) - APART))
 
 
@@ -47,19 +47,22 @@ def _vote(votes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, th, line, words, node`` of every line; ``node`` names its normalised text."""
+    """``row, doc_id, th, line, words, node`` of every line; ``node`` names its normalised text.
+
+    A generated row holds the words: filters and columns after it would otherwise split the line once more each.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("th"), "text")
     lines = rows.select("row", "doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line", "raw"))
-    return lines.withColumn("words", words_of_line(F.col("raw"))).withColumn("node", F.xxhash64("words")).drop("raw")
+    return lines.select("row", "doc_id", "th", "line", F.explode(F.array(words_of_line(F.col("raw")))).alias("words")).withColumn("node", F.xxhash64("words"))
 
 
 def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id, th, line, node, h`` of every line with ``min_words`` words or more."""
-    lines = _lines(docs).filter(F.size("words") >= min_words)
-    words = lines.select("row", "doc_id", "th", "line", "node", F.posexplode("words").alias("at", "word"))
-    votes = words.select("row", "doc_id", "th", "line", "node", F.floor(F.col("at") / PART).cast("int").alias("part"), F.shiftrightunsigned(F.xxhash64("word"), 1).alias("h"))
-    keys = ["row", "doc_id", "th", "line", "node"]
+    """``doc_id, th, line, node, h, full`` of every line with a word; ``full`` marks those with ``min_words`` words or more."""
+    lines = _lines(docs).withColumn("full", F.size("words") >= min_words)
+    words = lines.select("row", "doc_id", "th", "line", "node", "full", F.posexplode("words").alias("at", "word"))
+    keys = ["row", "doc_id", "th", "line", "node", "full"]
+    votes = words.select(*keys, F.floor(F.col("at") / PART).cast("int").alias("part"), F.shiftrightunsigned(F.xxhash64("word"), 1).alias("h"))
     # long lines vote in parts, then their parts vote
     voted = stage(_vote(votes, [*keys, "part"]), "votes")
     long = voted.filter("part > 0").select("row", "line").distinct()
@@ -69,26 +72,47 @@ def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
     rest = stage(voted.join(long, ["row", "line"], "left_semi").select(*keys, "part", "h"), "long")
     while not rest.filter("part > 0").isEmpty():
         rest = stage(_vote(rest.withColumn("part", F.floor(F.col("part") / PART).cast("int")), [*keys, "part"]), "long")
-    return stage(short.select("doc_id", "th", "line", "node", "h").union(rest.select("doc_id", "th", "line", "node", "h")), "hashes")
+    out = ["doc_id", "th", "line", "node", "h", "full"]
+    return stage(short.select(*out).union(rest.select(*out)), "hashes")
 
 
-def close_hashes(values: DataFrame) -> DataFrame:
-    """All pairs of different hashes ``h`` within ``APART`` bits, once each: ``h``, ``g``."""
+def _block(h: Column, b: int) -> Column:
+    first, bits = BLOCKS[b]
+    return F.shiftright(h, first).bitwiseAND(F.lit((1 << bits) - 1))
 
-    def block(h: Column, b: int) -> Column:
-        first, bits = BLOCKS[b]
-        return F.shiftright(h, first).bitwiseAND(F.lit((1 << bits) - 1))
 
+def _keyed(values: DataFrame) -> DataFrame:
+    """Every row of ``values`` once for each table, with the ``key`` that its hash ``h`` has there."""
     h = F.col("h")
-    keys = [F.shiftleft(block(h, i), 32).bitwiseOR(F.shiftleft(block(h, j), 8)).bitwiseOR(F.lit(t)) for t, (i, j) in enumerate(TABLES)]
-    keyed = values.select("h", F.explode(F.array(*keys)).alias("key"))
+    keys = [F.shiftleft(_block(h, i), 32).bitwiseOR(F.shiftleft(_block(h, j), 8)).bitwiseOR(F.lit(t)) for t, (i, j) in enumerate(TABLES)]
+    return values.select("*", F.explode(F.array(*keys)).alias("key"))
+
+
+def _differ() -> Column:
+    return F.col("h").bitwiseXOR(F.col("g"))
+
+
+def with_close(values: DataFrame) -> DataFrame:
+    """The hashes ``h`` that have another one within ``APART`` bits, however many."""
+    keyed = _keyed(values.select("h"))
     other = keyed.select(F.col("h").alias("g"), F.col("key").alias("_key"))
-    differ = F.col("h").bitwiseXOR(F.col("g"))
+    near = (F.col("key") == F.col("_key")) & (F.col("h") != F.col("g")) & (F.bit_count(_differ()) <= APART)
+    return keyed.join(other, near, "left_semi").select("h").distinct()
+
+
+def close_hashes(values: DataFrame, only: Column | None = None) -> DataFrame:
+    """All pairs of different hashes ``h`` within ``APART`` bits, once each: ``h``, ``g``.
+
+    ``only`` leaves out pairs by the other columns of ``values``, which those of ``g`` follow with a leading ``_``.
+    """
+    keyed = _keyed(values)
+    other = keyed.select(F.col("h").alias("g"), *[F.col(c).alias(f"_{c}") for c in keyed.columns if c != "h"])
     # of the tables in which a pair meets, the first one reports it
     first = F.lit(len(TABLES))
     for t, (i, j) in reversed(list(enumerate(TABLES))):
-        first = F.when((block(differ, i) == 0) & (block(differ, j) == 0), t).otherwise(first)
-    near = (F.col("key") == F.col("_key")) & (F.col("h") < F.col("g")) & (F.bit_count(differ) <= APART)
+        first = F.when((_block(_differ(), i) == 0) & (_block(_differ(), j) == 0), t).otherwise(first)
+    near = (F.col("key") == F.col("_key")) & (F.col("h") < F.col("g")) & (F.bit_count(_differ()) <= APART)
+    near = near if only is None else near & only
     return keyed.join(other, near & (F.col("key").bitwiseAND(F.lit(255)) == first)).select("h", "g")
 
 
@@ -125,12 +149,32 @@ def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "sa
     return pairs.withColumn("__pair", pair).withColumn(name, test).drop("__pair")
 
 
-def unconnected(members: DataFrame, meetings: DataFrame, least: float) -> DataFrame:
-    """Pairs of ``members`` (``node, h, n, root``) of hashes that meet, with different roots and lengths close enough: ``a, b, root_a, root_b, gap``.
+def to_leaders(nodes: DataFrame, shift: float) -> DataFrame:
+    """For each of ``nodes`` (``node, h, n, c``) at most one pair ``a, b`` with the leader of a group that it is in.
+
+    A group has one key and about one length; the most frequent of its lines leads it. Of the leaders within ``APART`` bits, the closest counts.
+    """
+    keyed = _keyed(nodes.withColumn("size", F.floor(F.log("n") / F.log(F.lit(1.1)) + F.lit(shift)).cast("int")))
+    lead = keyed.groupBy("key", "size").agg(F.count(F.lit(1)).alias("k"), F.max_by(F.struct("node", "h"), F.struct("c", "node")).alias("lead")).filter("k > 1")
+    led = keyed.join(lead.select("key", "size", F.col("lead.node").alias("b"), F.col("lead.h").alias("g")), ["key", "size"])
+    bits = F.bit_count(_differ())
+    near = led.filter((F.col("node") != F.col("b")) & (bits <= APART)).groupBy(F.col("node").alias("a"))
+    return near.agg(F.min_by("b", F.struct(bits, "b")).alias("b"))
+
+
+def unconnected(members: DataFrame, least: float) -> DataFrame:
+    """Pairs of ``members`` (``node, h, n, root``) of equal or close hashes, with different roots and lengths close enough: ``a, b, root_a, root_b, gap``.
 
-    The members of a hash are cut into blocks of about ``BLOCK``, so no task gets all pairs of a frequent one; two blocks that
-    hold one root only are left out.
+    Hashes whose members have one root in common, or lengths too far apart, never meet. The members of a hash are cut into blocks
+    of about ``BLOCK``, so no task gets all pairs of a frequent one; two blocks that hold one root only are left out.
     """
+    short = F.lit(least - 1e-9)
+    hashes = members.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("n").alias("n"), F.max("n").alias("m"))
+    hashes = stage(hashes, "hashes")
+    only = (F.least("lo", "_lo") != F.greatest("hi", "_hi")) & (F.col("m") >= short * F.col("_n")) & (F.col("_m") >= short * F.col("n"))
+    meetings = stage(close_hashes(hashes, only).union(hashes.filter("lo <> hi").select("h", F.col("h").alias("g"))), "meetings")
+    met = meetings.select("h").union(meetings.select("g")).distinct()
+    members = members.join(met, "h", "left_semi")
     counts = members.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k"))
     blocked = stage(members.join(counts, "h").withColumn("block", F.pmod(F.xxhash64("node"), F.col("k")).cast("int")).drop("k"), "blocked")
     blocks = stage(blocked.groupBy("h", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "blocks")
@@ -140,30 +184,34 @@ def unconnected(members: DataFrame, meetings: DataFrame, least: float) -> DataFr
     met = stage(met.filter(F.least("lo", "lo_b") != F.greatest("hi", "hi_b")).select("h", "i", "g", "j"), "meetings")
     one = blocked.select("h", F.col("block").alias("i"), F.col("node").alias("a"), F.col("n"), F.col("root").alias("root_a"))
     two = blocked.select(F.col("h").alias("g"), F.col("block").alias("j"), F.col("node").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
-    apart = (F.col("root_a") != F.col("root_b")) & (F.least("n", "m") >= F.lit(least - 1e-9) * F.greatest("n", "m"))
+    apart = (F.col("root_a") != F.col("root_b")) & (F.least("n", "m") >= short * F.greatest("n", "m"))
     once = (F.col("h") != F.col("g")) | (F.col("i") != F.col("j")) | (F.col("a") < F.col("b"))
     return met.join(one, ["h", "i"]).join(two, ["g", "j"]).filter(apart & once).select("a", "b", "root_a", "root_b", F.abs(F.col("n") - F.col("m")).alias("gap"))
 
 
+def _rooted(rows: DataFrame, roots: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the root of the node ``name`` in its place; a node without links is its own."""
+    found = roots.select(F.col("node").alias("__n"), F.col("root").alias("__r"))
+    return rows.join(found, F.col(name) == F.col("__n"), "left").withColumn(name, F.coalesce("__r", name)).drop("__n", "__r")
+
+
 def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """All lines ``doc_id, th, line, node``, and links ``a, b`` between the nodes of similar lines.
+    """All lines with a word, ``doc_id, th, line, node, full``, and ``node``, ``root`` of the nodes of similar lines.
 
-    Lines of one hash and about one length are first compared with a leader, the least of them; those not similar to it choose
-    another one in the next round. Then all lines of equal and close hashes are compared unless they are connected already.
+    Each line that has one of an equal or close hash is first compared with a leader or two, which joins near copies at a cost in
+    proportion to their number. Then all lines of equal and close hashes are compared that are not connected by that.
     """
     lines = hashed_lines(docs, min_words)
-    nodes = stage(lines.groupBy("node").agg(F.first("h").alias("h"), F.min(F.struct("doc_id", "th", "line")).alias("at")), "nodes")
-    close = stage(close_hashes(nodes.select("h").distinct()), "close")
-    busy = nodes.groupBy("h").count().filter("count > 1").select("h")
-    wanted = stage(busy.union(close.select("h")).union(close.select(F.col("g").alias("h"))).distinct(), "wanted")
-    asked = nodes.join(wanted, "h").groupBy(F.col("at.doc_id").alias("_d"), F.col("at.th").alias("_t")).agg(F.collect_list(F.struct("at.line", "node", "h")).alias("asked"))
+    nodes = lines.filter("full").groupBy("node").agg(F.first("h").alias("h"), F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "line")).alias("at"))
+    nodes = stage(nodes, "nodes")
+    kinds = nodes.groupBy("h").count()
+    wanted = stage(with_close(kinds).union(kinds.filter("count > 1").select("h")).distinct(), "wanted")
+    asked = nodes.join(wanted, "h").groupBy(F.col("at.doc_id").alias("_d"), F.col("at.th").alias("_t")).agg(F.collect_list(F.struct("at.line", "node", "h", "c")).alias("asked"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).select("doc_id", text_key().alias("th"), "text")
     texts = rows.join(asked.hint("merge"), rows["doc_id"].eqNullSafe(F.col("_d")) & (rows["th"] == F.col("_t"))).select(F.split("text", "\n").alias("raw"), "asked")
-    texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
-    size = F.floor(F.log(F.length("norm")) / F.log(F.lit(1.1))).cast("int")
-    every = open_ = stage(texts.dropDuplicates(["node"]).withColumn("size", size), "texts")
-
-    texts = every.select("node", "norm")
+    texts = texts.select("raw", F.explode("asked").alias("x")).select("x.node", "x.h", "x.c", F.array_join(words_of_line(F.element_at("raw", F.col("x.line") + 1)), " ").alias("norm"))
+    every = stage(texts.dropDuplicates(["node"]).withColumn("n", F.length("norm")), "texts")
+    texts, members = every.select("node", "norm"), every.select("node", "h", "n", "c")
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The similar ones of pairs of nodes ``a, b``."""
@@ -171,29 +219,22 @@ def line_groups(docs: DataFrame, min_words: int = 5, least: float = 0.8) -> tupl
         both = both.join(texts.select(F.col("node").alias("b"), F.col("norm").alias("other")), "b")
         return stage(keep_similar(both, "text", "other", least).filter("same").select("a", "b"), "links")
 
-    links: DataFrame | None = None
-    for _ in range(ROUNDS):
-        lead = stage(open_.groupBy("h", "size").agg(F.min("node").alias("leader")), "leaders")
-        own = open_.join(lead, ["h", "size"]).filter(F.col("node") != F.col("leader"))
-        led = own.join(texts.select(F.col("node").alias("leader"), F.col("norm").alias("text")), "leader")
-        own = stage(keep_similar(led, "norm", "text", least).select("h", "size", "node", "norm", "leader", "same"), "own")
-        found = own.filter("same").select(F.col("leader").alias("a"), F.col("node").alias("b"))
-        links = found if links is None else links.union(found)
-        open_ = own.filter("not same").select("node", "h", "size", "norm")
-        if open_.isEmpty():
-            break
-    # leaders only save work: every pair that they leave unconnected is verified, after one pair of each part and of two parts
-    meetings = close.union(wanted.select("h", F.col("h").alias("g")))
-    members = stage(every.select("node", "h", F.length("norm").alias("n")), "members")
-    for first in (["root_a"], ["root_a", "root_b"], []):
-        roots = components(links)
-        pairs = unconnected(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), meetings, least)
-        if first:
-            pairs = stage(pairs.groupBy(*first).agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
-            if pairs.isEmpty():
-                break
-        links = links.union(verified(pairs.select("a", "b")))
-    return lines.select("doc_id", "th", "line", "node"), links
+    # leaders only save work: every pair that they leave unconnected is verified, after one pair of each two parts
+    led = stage(to_leaders(members, 0.0).union(to_leaders(members, 0.5)).distinct(), "led")
+    roots = components(verified(led))
+    pairs = stage(unconnected(_rooted(members.withColumn("root", F.col("node")), roots, "root"), least), "pairs")
+    tried = pairs.groupBy(F.least("root_a", "root_b").alias("x"), F.greatest("root_a", "root_b").alias("y"))
+    tried = stage(tried.agg(F.min_by(F.struct("a", "b"), F.struct("gap", "a", "b")).alias("p")).select("p.a", "p.b"), "pairs")
+    rest = pairs.select("a", "b").join(tried, ["a", "b"], "left_anti")
+    while not tried.isEmpty():
+        # parts are few: only their roots meet again
+        merged = components(_rooted(_rooted(verified(tried), roots, "a"), roots, "b"))
+        moved = _rooted(roots, merged, "root")
+        roots = stage(moved.union(merged.join(roots, "node", "left_anti").select("node", "root")), "roots")
+        parts = rest.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+        tried = stage(_rooted(_rooted(parts, roots, "root_a"), roots, "root_b").filter("root_a <> root_b").select("a", "b"), "pairs")
+        rest = rest.limit(0)
+    return lines.select("doc_id", "th", "line", "node", "full"), roots
 
 
 def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.8, short_copies: bool = False) -> DataFrame:
@@ -205,11 +246,8 @@ def without_similar_lines(docs: DataFrame, min_words: int = 5, least: float = 0.
     and lines without any word all stay. Rows equal in id and text get equal results; a null text has no lines and stays
     null. Whole lines count, however long. Columns of any name pass through in ``row``.
     """
-    lines, links = line_groups(docs, min_words, least)
-    if short_copies:
-        short = _lines(docs).filter((F.size("words") > 0) & (F.size("words") < min_words))
-        lines = lines.union(stage(short.select("doc_id", "th", "line", "node"), "short"))
-    roots = components(links)
+    lines, roots = line_groups(docs, min_words, least)
+    lines = lines if short_copies else lines.filter("full")
     sizes = lines.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_id", "th", "line")).alias("at"))
     named = sizes.join(roots, "node", "left").select("node", "c", "at", F.coalesce("root", "node").alias("root"))
     groups = named.groupBy("root").agg(F.sum("c").alias("size"), F.min("at").alias("keep")).filter("size > 1")

@@ -230,6 +230,27 @@ def test_links_of_one_hash_against_all_pairs(make, monkeypatch, block):
     assert {x["row"]["doc_id"]: x["text"] for x in got} == want and sum(x["n_removed"] for x in got) == gone > 10
 
 
+def test_near_copies_do_not_all_meet(make, monkeypatch):
+    """Copies with one changed word have many close hashes; leaders connect them, so their pairs are not listed."""
+    r, vocab = random.Random(8), vocabulary(8, 200)
+    base = [r.choice(vocab) for _ in range(101)]
+    docs = [" ".join(base)]
+    for k in range(80):
+        w = list(base)
+        w[r.randrange(101)] = f"new{k}"
+        docs.append(" ".join(w))
+    listed, keep = {}, lines.stage
+
+    def counted(df, name="stage"):
+        out = keep(df, name)
+        listed[name] = listed.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stage", counted)
+    assert sum(x["n_removed"] for x in lines.without_similar_lines(make(docs)).collect()) > 20
+    assert listed["meetings"] <= len(docs)
+
+
 def test_lines_of_repeated_and_null_rows(make):
     text = "one two three four five\nanother line of five words"
     got = lines.without_similar_lines(make([(4, text), (4, text), (2, text), (None, None)])).collect()
