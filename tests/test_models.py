@@ -189,3 +189,25 @@ def test_tail_scores_agree_with_and_without_the_merge(spark):
     one, two = key(model.score(df, seen=True)), key(model.score_fitted(df))
     assert [k for k, _ in one] == [k for k, _ in two] and [v for _, v in one] == pytest.approx([v for _, v in two], rel=1e-12)
     assert model.score(df.limit(0)).count() == 0
+
+
+def test_features_of_few_values_are_looked_up_in_place(spark, monkeypatch):
+    """They are neither stored, nor numbered, nor merged, and are rated as by the merge: also unseen values, nulls, NaN and ties."""
+    import emberlog.operators.models.ecod as M
+
+    rows = [(float(i % 4), None if i % 9 == 0 else float(i % 50), float("nan") if i == 7 else i / 3, -0.0 if i % 2 else 0.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    fresh = spark.createDataFrame([(-1.0, 99.0, 0.1, 0.0), (1.5, None, float("nan"), -0.0), (9.0, 3.0, 1e9, 0.5)], df.schema)
+    names = ["a", "b", "c", "d"]
+    key = lambda d: sorted((tuple(map(repr, r[:4])), r["raw_score"]) for r in d.collect())
+    monkeypatch.setattr(M, "FEW_VALUES", 0)
+    model = M.fit_ecod(df, names)
+    merged = [key(model.score(df, seen=True)), key(model.score(fresh)), key(model.score(fresh, seen=True)), key(model.score_fitted(df))]
+    monkeypatch.setattr(M, "FEW_VALUES", 60)  # c stays with the merge
+    mixed = [key(model.score(df, seen=True)), key(model.score(fresh)), key(model.score(fresh, seen=True)), key(model.score_fitted(df))]
+    monkeypatch.setattr(M, "FEW_VALUES", 50_000)
+    again = M.fit_ecod(df, names)
+    for step in ("stage", "running_totals"):
+        monkeypatch.setattr(M, step, None)
+    short = [key(model.score(df, seen=True)), key(model.score(fresh)), key(model.score(fresh, seen=True)), key(model.score_fitted(df))]
+    assert merged == mixed == short and again.offset == model.offset
