@@ -76,12 +76,13 @@ class Forest:
         base = trees["tree"].map(starts).to_numpy()
         leaf = trees["feature"].to_numpy() < 0
         own = np.arange(len(trees))
+        # a leaf leads to itself; the two next nodes stand side by side, the one for values above the cut first
+        turns = [np.where(leaf, own, base + trees["right"]), np.where(leaf, own, base + trees["left"])]
         arrays = {
             "roots": starts.to_numpy().astype(np.int64),
             "feature": np.where(leaf, 0, trees["feature"]).astype(np.int64),
             "cut": np.where(leaf, np.inf, trees["threshold"]),
-            "left": np.where(leaf, own, base + trees["left"]).astype(np.int64),
-            "right": np.where(leaf, own, base + trees["right"]).astype(np.int64),
+            "next": np.column_stack(turns).astype(np.int64).ravel(),
             "length": trees["depth"].to_numpy() + average_path(trees["size"].to_numpy()),
         }
         steps = int(trees["depth"].max()) if len(trees) else 0
@@ -96,15 +97,21 @@ class Forest:
             for columns in batches:
                 columns = (columns,) if isinstance(columns, pd.Series) else columns
                 x = np.column_stack([c.to_numpy(np.float64) for c in columns])
-                total = np.zeros(len(x))
-                flat = x.ravel()
-                offset = np.arange(len(x)) * count
+                n, total, flat = len(x), np.zeros(len(x)), x.ravel()
+                offset = np.arange(n) * count
+                # all steps work in the same arrays
+                at, place = np.empty(n, np.int64), np.empty(n, np.int64)
+                value, cut, goes_left = np.empty(n), np.empty(n), np.empty(n, bool)
                 for root in a["roots"]:
-                    at = np.full(len(x), root)
+                    at.fill(root)
                     for _ in range(steps):
-                        goes_left = flat[offset + a["feature"][at]] <= a["cut"][at]
-                        at = np.where(goes_left, a["left"][at], a["right"][at])
-                    total += a["length"][at]
+                        a["feature"].take(at, out=place, mode="clip")
+                        place += offset
+                        np.less_equal(flat.take(place, out=value, mode="clip"), a["cut"].take(at, out=cut, mode="clip"), out=goes_left)
+                        at += at
+                        at += goes_left
+                        at, place = a["next"].take(at, out=place, mode="clip"), at
+                    total += a["length"].take(at, mode="clip")
                 yield pd.Series(np.power(2.0, -(total / len(a["roots"])) / norm))
 
         return df.withColumn(name, path_score(*[F.col(f).cast("double") for f in self.features]))
@@ -186,6 +193,7 @@ def contamination_offset(scored: DataFrame, column: str, contamination: float =
     return exact_percentiles(stage(scored.select(column), "scores"), column, [1 - contamination]).first()["q0"]
 
 
-def fit_decision(forest: Forest, train: DataFrame, contamination: float = CONTAMINATION) -> Forest:
-    offset = contamination_offset(forest.score(train), "raw_score", contamination)
+def fit_decision(forest: Forest, train: DataFrame, contamination: float = CONTAMINATION, scores: DataFrame | None = None) -> Forest:
+    """Add the offset; ``scores`` are the ``raw_score`` of the training rows where they are stored already."""
+    offset = contamination_offset(forest.score(train) if scores is None else scores, "raw_score", contamination)
     return Forest(forest.features, forest.nodes, forest.sample_size, offset)

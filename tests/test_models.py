@@ -211,3 +211,13 @@ def test_features_of_few_values_are_looked_up_in_place(spark, monkeypatch):
         monkeypatch.setattr(M, step, None)
     short = [key(model.score(df, seen=True)), key(model.score(fresh)), key(model.score(fresh, seen=True)), key(model.score_fitted(df))]
     assert merged == mixed == short and again.offset == model.offset
+
+
+def test_training_scores_the_clean_rows_once(spark, df, monkeypatch):
+    """The offset comes from the stored scores of the training rows, as it does from scoring them again."""
+    forest = fit_forest(df, FEATURES, trees=3, sample_size=32)
+    want = fit_decision(forest, df)
+    stored = forest.score(df).select("raw_score").cache()
+    stored.count()
+    monkeypatch.setattr(type(forest), "score", None)
+    assert fit_decision(forest, df, scores=stored).offset == want.offset
