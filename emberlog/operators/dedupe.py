@@ -20,12 +20,12 @@ def keep_latest(
 ) -> DataFrame:
     """One row per non-empty ``key``: the latest by ``order``. Rows without a key all stay.
 
-    Replays are few, so only the ids are shuffled to find the repeated ones; copies of one id combine before the shuffle.
-    Nothing runs before the result is asked for.
+    Only ids are counted to find the repeated ones, and a task holds those of its partition while whole rows stream by unsorted;
+    copies of one id combine before the shuffle. Nothing runs before the result is asked for.
     """
     order = [c for c in order if c in df.columns]
     ids = df.select(F.col(key).alias("__dup")).filter(F.coalesce("__dup", F.lit("")) != "")
-    repeated = ids.groupBy("__dup").agg(F.count("*").alias("n")).filter("n > 1").select("__dup")
+    repeated = ids.groupBy("__dup").agg(F.count("*").alias("n")).filter("n > 1").select("__dup").hint("shuffle_hash")
     same = F.col(key) == F.col("__dup")
     once = df.join(repeated, same, "left_anti")
     return once.unionByName(_latest(df.join(repeated, same, "left_semi"), key, order))

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from emberlog.operators.dedupe import keep_latest
 from emberlog.schema import HISTORY_SCHEMA
+from emberlog.session import unsorted_writes
 from emberlog.sources.documents import history_columns
 from emberlog.sources.timeindex import SCHEMA as INDEX_SCHEMA
 from emberlog.sources.timeindex import TimeIndex, minute_counts, newest_matching, since
@@ -70,9 +71,11 @@ class History:
             consumed.alias("consumed_at"), F.to_date("timestamp").alias("log_date"),
             F.lit(batch_id).cast("bigint").alias("batch_id"),
         )
-        stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "log_date", "batch_id"
-        ).parquet(self.path)
+        # a task's rows lie in few days as a rule; sorted by day, they would all be held at once
+        with unsorted_writes(records.sparkSession):
+            stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "log_date", "batch_id"
+            ).parquet(self.path)
         written = f"{self.path}/log_date=*/batch_id={batch_id}"
         fs, pattern = self._fs(written)
         if fs.globStatus(pattern):  # an empty batch has no folder

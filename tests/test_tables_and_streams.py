@@ -39,6 +39,23 @@ def test_a_retried_batch_leaves_no_copies(spark, tmp_path):
     assert got == {"r1": 200, "r2": 500, "r3": 500} and history.view().count() == 5
 
 
+def test_whole_rows_are_not_sorted_to_find_replays(spark, tmp_path):
+    """Neither the joins with repeated ids nor a write by day hold the rows of a task in a sort."""
+    history, name = History(spark, str(tmp_path / "h")), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    many = records(spark, range(6))
+    for day in range(1, 12):  # more days than open files
+        many = many.unionByName(records(spark, range(6 * day, 6 * day + 6), day=day))
+    history.append(many.coalesce(1), 0)
+    history.append(records(spark, (3, 4), status=500, consumed=1), 1)
+    assert spark.conf.get(name) == before
+    view = history.view()
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("ShuffledHashJoin") == 2
+    got = {r["request_id"]: r["status_code"] for r in view.collect()}
+    assert len(got) == 72 and sum(v == 500 for v in got.values()) == 2
+
+
 def test_purge_is_idempotent(spark, tmp_path):
     history = History(spark, str(tmp_path))
     for day in range(4):
