@@ -24,6 +24,8 @@ _UNITS = re.compile(f"{SPACE}+[^{SPACE}]*")
 #: Stands for the model's space sign where a text holds it; no word of a text is empty.
 _SIGN = ""
 _NONE, _LONG = np.int64(1 << 40), 64
+#: Most skipped merges of a cut that is cached.
+DEEP = 1
 
 
 class PieceCoder:
@@ -120,7 +122,7 @@ class PieceCoder:
             keep[at + 1] = False
             at = at - np.arange(len(at))  # one symbol of each earlier word is gone
             row, sym, place, origin, best = (x[keep] for x in (row, sym, place, origin, best))
-            changed = np.unique(np.concatenate([at - 1, at]))
+            changed = np.concatenate([at - 1, at])  # where two words meet one is named twice, but makes no pair there
             changed = changed[(changed >= 0) & (changed < len(row))]
             best[at] = _NONE
             joint = changed[(changed + 1 < len(row))]
@@ -186,14 +188,16 @@ class PieceCoder:
             nth = np.minimum.reduceat(np.where(drop, nth, _LONG), first)
             left, nth = left[nth < _LONG], nth[nth < _LONG]
             follow, which = np.unique(cut[left] << 8 | nth, return_inverse=True)
-            new = [x for x in follow.tolist() if x not in self.next]
+            # cuts of many skipped merges seldom recur: such an occurrence is merged by its own hashes instead
+            new = [x for x in follow.tolist() if x not in self.next and len(self.of[x >> 8][1]) < DEEP]
             if new:
                 asked = [(self.of[x >> 8][0], (*self.of[x >> 8][1], int(self.path[self.ends[x >> 8] + (x & 255)]))) for x in new]
                 self.next.update(zip(new, self._cut(asked), strict=True))
-            cut[left] = np.array([self.next[x] for x in follow.tolist()], np.int64)[which]
+            cut[left] = np.array([self.next.get(x, -1) for x in follow.tolist()], np.int64)[which]
+            left = left[cut[left] >= 0]
         out = [self.cuts[k] if k >= 0 else self.sign for k in cut.tolist()]
-        long = [i for i in np.nonzero(cut < 0)[0].tolist() if words[i] != _SIGN]
-        for i, x in zip(long, self._merge([words[i] for i in long], keys[long]), strict=True):
+        own = [i for i in np.nonzero(cut < 0)[0].tolist() if words[i] != _SIGN]
+        for i, x in zip(own, self._merge([words[i] for i in own], keys[own]), strict=True):
             out[i] = x
         return out
 

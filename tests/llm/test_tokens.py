@@ -226,3 +226,21 @@ def test_coding_in_spark(spark, make):
 def test_any_text_comes_back(text, variants):
     code = pieces.coder(P.path("piece_bpe_32k.model"), 0.3, 5, variants)
     assert code.decode(code.encode([text], [9])[0]) == text
+
+
+def test_cuts_of_many_skipped_merges_are_not_cached(monkeypatch):
+    """Occurrences that skip more are merged by their own hashes, to the same ids."""
+    import numpy as np
+    import public_tokenizers
+
+    import emberlog.llm.pieces as P
+
+    words = [P.SPACE + w for w in ("international", "understanding", "of", "a", "counterrevolutionaries") * 60]
+    keys = np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    own = P.PieceCoder(public_tokenizers.path("piece_bpe_32k.model"), 0.3, 1)
+    want = own._merge(words, keys)
+    for deep in (0, P.DEEP, 40):
+        monkeypatch.setattr(P, "DEEP", deep)
+        code = P.PieceCoder(public_tokenizers.path("piece_bpe_32k.model"), 0.3, 1)
+        assert code.occurrences(words, keys) == want
+        assert max(len(codes) for _, codes in code.of) <= deep
