@@ -59,21 +59,17 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def hashed_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id, th, line, node, h, full`` of every line with a word; ``full`` marks those with ``min_words`` words or more."""
-    lines = _lines(docs).withColumn("full", F.size("words") >= min_words)
-    words = lines.select("row", "doc_id", "th", "line", "node", "full", F.posexplode("words").alias("at", "word"))
-    keys = ["row", "doc_id", "th", "line", "node", "full"]
+    lines = _lines(docs).withColumn("full", F.size("words") >= min_words).withColumn("long", F.size("words") > PART)
+    keys = ["row", "doc_id", "th", "line", "node", "full", "long"]
+    words = lines.select(*keys, F.posexplode("words").alias("at", "word"))
     votes = words.select(*keys, F.floor(F.col("at") / PART).cast("int").alias("part"), F.shiftrightunsigned(F.xxhash64("word"), 1).alias("h"))
     # long lines vote in parts, then their parts vote
     voted = stage(_vote(votes, [*keys, "part"]), "votes")
-    long = voted.filter("part > 0").select("row", "line").distinct()
-    if long.isEmpty():
-        return voted.drop("row", "part")
-    short = voted.join(long, ["row", "line"], "left_anti").drop("part")
-    rest = stage(voted.join(long, ["row", "line"], "left_semi").select(*keys, "part", "h"), "long")
+    rest = voted.filter("long")
     while not rest.filter("part > 0").isEmpty():
         rest = stage(_vote(rest.withColumn("part", F.floor(F.col("part") / PART).cast("int")), [*keys, "part"]), "long")
     out = ["doc_id", "th", "line", "node", "h", "full"]
-    return stage(short.select(*out).union(rest.select(*out)), "hashes")
+    return voted.filter("not long").select(*out).union(rest.select(*out))
 
 
 def _block(h: Column, b: int) -> Column:
@@ -94,9 +90,9 @@ def _differ() -> Column:
 
 def with_close(values: DataFrame) -> DataFrame:
     """The hashes ``h`` that have another one within ``APART`` bits, however many."""
-    keyed = _keyed(values.select("h"))
-    other = keyed.select(F.col("h").alias("g"), F.col("key").alias("_key"))
-    near = (F.col("key") == F.col("_key")) & (F.col("h") != F.col("g")) & (F.bit_count(_differ()) <= APART)
+    # both sides are one plan, so they share one shuffle
+    keyed, other = _keyed(values.select("h")).alias("x"), _keyed(values.select("h")).alias("y")
+    near = (F.col("x.key") == F.col("y.key")) & (F.col("x.h") != F.col("y.h")) & (F.bit_count(F.col("x.h").bitwiseXOR(F.col("y.h"))) <= APART)
     return keyed.join(other, near, "left_semi").select("h").distinct()
 
 
@@ -116,37 +112,41 @@ def close_hashes(values: DataFrame, only: Column | None = None) -> DataFrame:
     return keyed.join(other, near & (F.col("key").bitwiseAND(F.lit(255)) == first)).select("h", "g")
 
 
-def similar(a: str, b: str, least: float) -> tuple[Column, Column]:
-    """Edit similarity of two normalised lines (single spaces), 1 - distance / longer length, of ``least`` or more.
+def _held(rows: DataFrame, **values: Column) -> DataFrame:
+    """``rows`` with new columns, each worked out once: a generated row holds them, which filters and columns after it would otherwise repeat."""
+    made = rows.select("*", F.explode(F.array(F.struct(*[v.alias(k) for k, v in values.items()]))).alias("__held"))
+    return made.select(*rows.columns, *[F.col("__held")[k].alias(k) for k in values])
 
-    Words that both begin or end with change no distance and are left out; the rest is first tried with a narrow band.
+
+def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "same") -> DataFrame:
+    """Adds whether the normalised lines ``a`` and ``b`` (single spaces, not equal) have an edit similarity, 1 - distance / longer length, of ``least`` or more.
+
+    Words that both begin or end with change no distance and are left out. Replacing all of the rest, or word by word, bounds
+    the distance from above; where that decides nothing it is computed, for lines that share most words within a narrow band first.
     """
-    x, y = F.split(a, " "), F.split(b, " ")
+    x, y = F.col("__x"), F.col("__y")
 
     def equal(u: Column, v: Column) -> Column:
         """Number of leading words that are equal (the lines differ)."""
         return F.array_position(F.zip_with(u, v, lambda p, q: ~p.eqNullSafe(q)), True).cast("int") - 1
 
-    head = equal(x, y)
-    tail = F.least(equal(F.reverse(x), F.reverse(y)), F.least(F.size(x), F.size(y)) - head)
-
     def rest(u: Column) -> Column:
-        n = F.size(u) - head - tail
-        return F.when(n <= 0, "").otherwise(F.concat(F.lit(" "), F.array_join(F.slice(u, head + 1, F.greatest(n, F.lit(0))), " ")))
+        n = F.size(u) - F.col("__head") - F.col("__tail")
+        return F.when(n <= 0, "").otherwise(F.concat(F.lit(" "), F.array_join(F.slice(u, F.col("__head") + 1, F.greatest(n, F.lit(0))), " ")))
 
+    rows = _held(pairs, __x=F.split(a, " "), __y=F.split(b, " "))
+    rows = _held(rows, __head=equal(x, y), __back=equal(F.reverse(x), F.reverse(y)))
+    rows = rows.withColumn("__tail", F.least("__back", F.least(F.size(x), F.size(y)) - F.col("__head")))
+    replaced = F.zip_with(x, y, lambda p, q: F.when(p == q, 0).otherwise(F.greatest(F.length(p), F.length(q))))
     full = F.floor((1 - least) * F.greatest(F.length(a), F.length(b)) + 1e-9).cast("int")
-    pair = F.struct(rest(x).alias("a"), rest(y).alias("b"), full.alias("full"))
-    narrow = "least(p.full, cast(greatest(length(p.a), length(p.b)) / 8 + 8 as int))"
+    rows = _held(rows, __a=rest(x), __b=rest(y), __full=full, __by_word=F.when(F.size(x) == F.size(y), F.aggregate(replaced, F.lit(0), lambda s, v: s + v)))
+    rows = _held(rows, __m=F.length("__a"), __n=F.length("__b"))
+    alike = "2 * size(array_intersect(__x, __y)) >= size(array_union(__x, __y))"
     test = F.expr(
-        "exists(array(`__pair`), p -> abs(length(p.a) - length(p.b)) <= p.full and "
-        f"(levenshtein(p.a, p.b, {narrow}) >= 0 or levenshtein(p.a, p.b, p.full) >= 0))"
+        "abs(__m - __n) <= __full and (greatest(__m, __n) <= __full or coalesce(__by_word <= __full, false) or "
+        f"({alike} and levenshtein(__a, __b, least(__full, cast(greatest(__m, __n) / 16 + 8 as int))) >= 0) or levenshtein(__a, __b, __full) >= 0)"
     )
-    return pair, test
-
-
-def keep_similar(pairs: DataFrame, a: str, b: str, least: float, name: str = "same") -> DataFrame:
-    pair, test = similar(a, b, least)
-    return pairs.withColumn("__pair", pair).withColumn(name, test).drop("__pair")
+    return rows.select(*pairs.columns, test.alias(name))
 
 
 def to_leaders(nodes: DataFrame, shift: float) -> DataFrame:

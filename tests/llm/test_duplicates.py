@@ -294,3 +294,32 @@ def test_kept_text_digest(make, corpus):
     done = repeats.without_repeats(make(corpus)).select("row.doc_id", F.sha2("kept", 256).alias("s")).collect()
     want = stripped(corpus, 35)
     assert all(r["s"] == hashlib.sha256(want[r["doc_id"]][2].encode()).hexdigest() for r in done)
+
+
+def test_similar_pairs_against_distances(spark):
+    """Any mix of replaced, inserted, dropped and moved words, and characters of several bytes."""
+    r, vocab = random.Random(12), [*vocabulary(12, 60), "où", "größe", "一二", "x"]
+    pairs = []
+    for _ in range(150):
+        x = [r.choice(vocab) for _ in range(r.randint(1, 40))]
+        y = list(x)
+        for _ in range(r.randint(0, 6)):
+            k = r.randrange(len(y) + 1)
+            y[k : k + r.randint(0, 1)] = [r.choice(vocab) for _ in range(r.randint(0, 2))]
+        y = y if r.random() < 0.9 else r.sample(y, len(y))
+        if x != y and y:
+            pairs.append((" ".join(x), " ".join(y)))
+    got = lines.keep_similar(spark.createDataFrame(pairs, "a string, b string"), "a", "b", 0.8).collect()
+    want = {p: distance(*p) <= int(0.2 * max(map(len, p)) + 1e-9) for p in pairs}
+    assert {(x["a"], x["b"]): x["same"] for x in got} == want and 20 < sum(want.values()) < len(want) - 20
+
+
+def test_lines_are_split_once_for_a_comparison(spark):
+    rows = lines.keep_similar(spark.createDataFrame([("a b", "a c")], "a string, b string"), "a", "b", 0.8).filter("same")
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("split(") == 2
+
+
+def test_hashes_are_shuffled_once_to_find_close_ones(spark):
+    close = lines.with_close(spark.createDataFrame([(1,), (3,), ((1 << 40) - 1,)], "h long").repartition(2))
+    assert sorted(x["h"] for x in close.collect()) == [1, 3]
+    assert "ReusedExchange" in close._jdf.queryExecution().executedPlan().toString()
