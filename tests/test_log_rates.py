@@ -13,3 +13,7 @@ def test_rows_sampled_for_alerts(spark):
     slow = rows.filter(~F.col("log_level").isin("ERROR", "CRITICAL"))
     assert rows.count() >= 152
     assert slow.count() >= 48 and slow.filter("response_time_ms <= 2000").count() == 0
+
+
+def test_more_anomalies_than_the_page_holds(spark):
+    assert QUERIES["Q3_worst_anomalies"](spark, "/root/testdata/sf0.01").count() == 500
