@@ -17,3 +17,9 @@ def test_rows_sampled_for_alerts(spark):
 
 def test_more_anomalies_than_the_page_holds(spark):
     assert QUERIES["Q3_worst_anomalies"](spark, "/root/testdata/sf0.01").count() == 500
+
+
+def test_replayed_and_anonymous_copies(spark):
+    copies = {r["version"]: r["count"] for r in QUERIES["D1_keep_latest"](spark, SF_DIR).groupBy("version").count().collect()}
+    assert copies["a"] + copies["b"] == 1000
+    assert copies["b"] >= 161 and copies["c"] >= 171
