@@ -23,3 +23,7 @@ def test_replayed_and_anonymous_copies(spark):
     copies = {r["version"]: r["count"] for r in QUERIES["D1_keep_latest"](spark, SF_DIR).groupBy("version").count().collect()}
     assert copies["a"] + copies["b"] == 1000
     assert copies["b"] >= 161 and copies["c"] >= 171
+
+
+def test_errors_on_the_spine(spark):
+    assert QUERIES["J3_bucket_spine"](spark, SF_DIR).agg(F.sum("n")).first()[0] >= 104
