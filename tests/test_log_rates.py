@@ -27,3 +27,8 @@ def test_replayed_and_anonymous_copies(spark):
 
 def test_errors_on_the_spine(spark):
     assert QUERIES["J3_bucket_spine"](spark, SF_DIR).agg(F.sum("n")).first()[0] >= 104
+
+
+def test_timeline_has_anomalies_that_are_no_errors(spark):
+    errors, anomalies = QUERIES["A8_timeline"](spark, SF_DIR).agg(F.sum("error_count"), F.sum("anomaly_count")).first()
+    assert errors >= 104 and anomalies >= errors + 48
