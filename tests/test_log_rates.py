@@ -32,3 +32,8 @@ def test_errors_on_the_spine(spark):
 def test_timeline_has_anomalies_that_are_no_errors(spark):
     errors, anomalies = QUERIES["A8_timeline"](spark, SF_DIR).agg(F.sum("error_count"), F.sum("anomaly_count")).first()
     assert errors >= 104 and anomalies >= errors + 48
+
+
+def test_counted_anomalies(spark):
+    row = QUERIES["A14_scoring_counters"](spark, SF_DIR).first()
+    assert row["scored"] == 1000 and row["anomalies"] >= 152
